@@ -13,17 +13,25 @@ def _exact(gap: Column) -> Column:
     return gap < F.lit(rules.EXACT_GAP).cast("decimal(4,2)")
 
 
+def sender_gap() -> Column:
+    return F.abs(F.col("oldbalanceOrg") - F.col("amount") - F.col("newbalanceOrig"))
+
+
+def math_correct() -> Column:
+    """1 where the sender's balances agree with the amount, else 0."""
+    return flag(_exact(sender_gap()))
+
+
 def ledger_gaps(df: DataFrame) -> DataFrame:
     """Sender and receiver gap, balance flags and the gap relative to the amount."""
     amount = F.col("amount")
-    sender = F.abs(F.col("oldbalanceOrg") - amount - F.col("newbalanceOrig"))
     receiver = F.abs(F.col("oldbalanceDest") + amount - F.col("newbalanceDest"))
     relative = F.round(F.try_divide(F.col("origin_gap"), amount)).cast("double")
-    return df.withColumns({"origin_gap": sender, "dest_gap": receiver}).withColumns(
+    return df.withColumns({"origin_gap": sender_gap(), "dest_gap": receiver}).withColumns(
         {
             "is_ledger_balanced": holds(_exact(F.col("origin_gap")) & _exact(F.col("dest_gap"))),
             "relative_origin_error": F.when(amount != 0, relative).otherwise(0.0),
-            "is_math_correct": flag(_exact(F.col("origin_gap"))),
+            "is_math_correct": math_correct(),
             "is_balance_consistent": holds(_exact(F.col("origin_gap"))),
         }
     )

@@ -222,11 +222,14 @@ def framed(
     order: str,
     tie: str,
     frames: Frames,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """``df`` with the columns of ``frames``; exact for every size of key."""
+    """``df`` with the columns of ``frames``; exact for every size of key.
+
+    ``hot_rows=None`` skips the count when no key can be hot.
+    """
     keys = list(keys)
-    hot = hot_keys(df, keys, tie, hot_rows)
+    hot = None if hot_rows is None else hot_keys(df, keys, tie, hot_rows)
     if hot is None:
         return _plain(df, keys, order, tie, frames)
     listed = F.broadcast(hot.table)
@@ -335,7 +338,7 @@ def position(
     order: str,
     tie: str,
     name: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Exact row number by (order, tie) within ``keys``."""
     return framed(df, keys, order, tie, Frames(position=name), hot_rows)

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from tallywatch import rules
 from tallywatch.functions.exprs import flag, mean, ratio
-from tallywatch.operators.spread import HOT_ROWS, Frames, framed, position, rank_within
+from tallywatch.functions.ledger import math_correct
+from tallywatch.operators.spread import HOT_ROWS, Frames, framed, hot_keys, position, rank_within
 
 ACCOUNT, STEP, TIE = "nameOrig_hashed", "step", "txn_id"
 
@@ -60,8 +61,8 @@ _RANGED = {
         "__seen_by_step": (_has_amount, None),
     },
     "integrity": {
-        "cumulative_integrity_passes": (lambda: F.col("is_math_correct"), None),
-        "cumulative_integrity_failures": (lambda: 1 - F.col("is_math_correct"), None),
+        "cumulative_integrity_passes": (math_correct, None),
+        "cumulative_integrity_failures": (lambda: 1 - math_correct(), None),
     },
 }
 
@@ -165,12 +166,13 @@ def behavior(
     order: str = STEP,
     tie: str = TIE,
     hours: int = rules.VELOCITY_STEPS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add the columns of the given feature groups.
 
     ``tie`` must be unique: it decides the order of rows on the same step in
-    every row-based frame. ``integrity`` needs ``is_math_correct``.
+    every row-based frame. Only amount, balances, step and keys are read, so call
+    it before adding labels: the exchange then carries fewer columns.
     """
     unknown = set(features) - set(FEATURES)
     if unknown:
@@ -243,11 +245,14 @@ def dest_novelty(
     *,
     account: str = ACCOUNT,
     dest: str = "nameDest_hashed",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """First time a sender pays a destination, and first time it is paid at all."""
-    df = position(df, [account, dest], STEP, TIE, "dest_appearance_rank", hot_rows)
-    df = position(df, [dest], STEP, TIE, "destination_rank", hot_rows)
+    # a pair has at most as many rows as its destination: count pairs only if needed
+    some_hot = hot_rows is not None and hot_keys(df, [dest], TIE, hot_rows) is not None
+    limit = hot_rows if some_hot else None
+    df = position(df, [account, dest], STEP, TIE, "dest_appearance_rank", limit)
+    df = position(df, [dest], STEP, TIE, "destination_rank", limit)
     return df.withColumns(
         {
             "is_new_destination_for_sender": flag(F.col("dest_appearance_rank") == 1),
@@ -257,7 +262,7 @@ def dest_novelty(
 
 
 def account_age(
-    df: DataFrame, *, account: str = ACCOUNT, ts: str = "ts", hot_rows: int = HOT_ROWS
+    df: DataFrame, *, account: str = ACCOUNT, ts: str = "ts", hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Days since the account's first activity and the infant-account flag."""
     frames = Frames(whole={"first_account_activity": F.min(ts)})
@@ -269,7 +274,7 @@ def account_age(
 
 
 def day_gap(
-    df: DataFrame, *, account: str = ACCOUNT, ts: str = "ts", hot_rows: int = HOT_ROWS
+    df: DataFrame, *, account: str = ACCOUNT, ts: str = "ts", hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Days since the account's previous transaction and the same-day flag."""
     frames = Frames(lookback={"prev_ts": lambda w: F.lag(ts).over(w)}, reach=1)
@@ -287,7 +292,7 @@ def sessionize(
     account: str = ACCOUNT,
     ts: str = "ts",
     gap_min: int = rules.SESSION_MINUTES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Session number per account; a gap of more than ``gap_min`` starts the next."""
     gap = F.timestamp_diff("MICROSECOND", F.col("__prev_ts"), F.col(ts)) / 60_000_000

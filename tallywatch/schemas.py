@@ -24,7 +24,10 @@ RAW = T.StructType(
     ]
 )
 
-# The same with a column that receives the text of malformed CSV lines.
+# The columns of the source files that bring no id of their own.
+SOURCE = T.StructType([f for f in RAW.fields if f.name != "txn_id"])
+
+# RAW with a column that receives the text of malformed CSV lines.
 LANDING = T.StructType([*RAW.fields, T.StructField(CORRUPT, T.StringType())])
 
 DIM_ACCOUNT = T.StructType(

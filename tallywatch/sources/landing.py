@@ -24,12 +24,14 @@ def read_landing(
 
     Header, explicit schema, permissive: a value that does not parse becomes
     null and the text of its line goes to the corrupt-record column when the
-    schema has one. A folder without a matching file gives an empty table,
+    schema has one. A header that names other columns, or the same in another
+    order, is an error and not silently read by position. A folder without a matching file gives an empty table,
     which the gate in ``operators.quality`` rejects.
     """
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", glob)
@@ -37,6 +39,16 @@ def read_landing(
     )
 
 
+def add_txn_id(df: DataFrame, run_id: str, name: str = "txn_id") -> DataFrame:
+    """Row id for files that bring none, as the tie-breaker of the windows.
+
+    It depends on how files are split into tasks, so write the rows (bronze)
+    before using it.
+    """
+    row = F.monotonically_increasing_id()
+    return df.select(F.xxhash64(F.lit(run_id), row).alias(name), "*")
+
+
 def add_audit_cols(
     df: DataFrame, run_id: str, run_ts: str | dt.datetime, source: str | None = None
 ) -> DataFrame:
