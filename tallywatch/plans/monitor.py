@@ -142,7 +142,7 @@ def abnormal_outbound(
     columns = ["txn_id", "step", "type", "amount", "nameOrig", "isFraud"]
     masked = mask(normalize(raw.select(*columns)), salt, ["nameOrig"])
     valid = label_type(split_valid(masked).kept)
-    scored = velocity(zscore(valid), hot_rows=hot_rows)
+    scored = zscore(velocity(valid, hot_rows=hot_rows))
     alarming = (F.col("type_risk_level") == rules.TYPE_HIGH) & (F.col("z_score") > z_limit)
     return (
         scored.groupBy(ACCOUNT_KEY)

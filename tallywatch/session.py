@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.ui.enabled": "false",
+    # no call-site capture for every column built: plans here have hundreds
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

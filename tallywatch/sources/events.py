@@ -9,6 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
 TXN_SQL = """
 select event_id as txn_id,
   cast((extract(day from ts) - 1) * 24 + extract(hour from ts) + 1 as int) as step,
@@ -37,7 +41,7 @@ from (select event_id, ts, user_id, event_id % 1000 as k,
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
