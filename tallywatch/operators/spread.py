@@ -7,10 +7,11 @@ counts rows per key first (one pass over the key columns, combined map-side):
   them - the usual case;
 * otherwise the keys above the limit take a second lane. Their rows are cut
   into consecutive chunks of about ``hot_rows`` rows, the windows run inside
-  each chunk, and what earlier chunks contribute is added from small per-chunk
-  totals. Frames that look back a fixed number of rows get copies of the last
-  rows of the chunk before; frames over the order column's *values* are
-  computed on one row per (key, value) and joined back.
+  each chunk after one exchange by (key, chunk), and what earlier chunks
+  contribute is added from small per-chunk totals. Frames that look back a fixed
+  number of rows get copies of the rows just before the chunk; frames over the
+  order column's *values* are computed on one row per (key, value) and joined
+  back.
 
 Both lanes give the same result for every row; the tests force the second one
 with a tiny ``hot_rows`` and compare.
@@ -30,6 +31,7 @@ from pyspark.sql import types as T
 HOT_ROWS = 2_000_000  # rows of one key that one task may sort
 MAX_HOT_KEYS = 100_000  # keys the broadcast list of hot keys may hold
 MAX_PIECES = 10_000  # chunks one key is cut into
+SLICES = 8  # slices per chunk; a chunk looks back on whole slices
 SMALL_ROWS = 10_000  # rows of a join side that is copied to every task
 
 
@@ -111,7 +113,7 @@ def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= 4 * MAX_HOT_KEYS else df
 
 
-# -- exact positions in a hot key ----------------------------------------------
+# -- slices of a hot key -------------------------------------------------------
 
 
 def _ordinal(df: DataFrame, order: str) -> Column:
@@ -128,42 +130,41 @@ def _ordinal(df: DataFrame, order: str) -> Column:
     return F.coalesce(value.cast("double"), F.lit(-1e18))
 
 
-def _bucketed(warm: DataFrame, keys: Sequence[str], order: str, hot: HotKeys) -> DataFrame:
-    """Add ``__bucket``: consecutive, about equally large slices of each key.
+def _sliced(
+    warm: DataFrame, keys: Sequence[str], order: str, tie: str, hot: HotKeys
+) -> DataFrame:
+    """Add ``__slice``: consecutive, about equally long stretches of each key.
 
     Cut points are approximate percentiles of (order, tie) packed into one
     growing number. They decide only how even the slices are, not the result.
     """
-    most_pieces = math.ceil(hot.most / hot.hot_rows)
-    shares = [i / most_pieces for i in range(1, most_pieces)]
-    wanted = F.ceil(F.col("__rows") / hot.hot_rows).cast("int")
+    width = F.col("__hi") - F.col("__lo") + 1
+    share = (F.col(tie).cast("double") - F.col("__lo")) / width
+    warm = warm.withColumn("__packed", _ordinal(warm, order) + F.coalesce(share, F.lit(0.0)))
+    most = math.ceil(hot.most / hot.hot_rows) * SLICES
+    shares = [i / most for i in range(1, most)]
+    wanted = (F.ceil(F.col("__rows") / hot.hot_rows) * SLICES).cast("int")
+    # a smaller hot key uses every n-th cut only
+    nth = F.transform(
+        F.sequence(F.lit(1), wanted - 1),
+        lambda i: F.element_at("__all", F.greatest((i * most / wanted).cast("int"), F.lit(1))),
+    )
+    leap = max(1, math.isqrt(most))
     cuts = (
         warm.groupBy(*keys)
         .agg(
-            F.percentile_approx("__packed", shares, max(10_000, 10 * most_pieces)).alias("__all"),
+            F.percentile_approx("__packed", shares, max(10_000, 10 * most)).alias("__all"),
             F.first("__rows").alias("__rows"),
         )
-        .select(
-            *keys,
-            # a smaller hot key uses every n-th cut only
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(wanted - 1, F.lit(1))),
-                lambda i: F.element_at(
-                    "__all", F.greatest((i * most_pieces / wanted).cast("int"), F.lit(1))
-                ),
-            ).alias("__cuts"),
-        )
-    )
-    step = max(1, math.isqrt(len(shares)))
-    cuts = cuts.withColumn(
-        "__coarse", F.filter("__cuts", lambda _, i: (i + 1) % step == 0)
+        .select(*keys, nth.alias("__cuts"))
+        .withColumn("__coarse", F.filter("__cuts", lambda _, i: (i + 1) % leap == 0))
     )
     at = F.col("__packed")
-    passed = F.size(F.filter("__coarse", lambda c: c <= at)) * step
-    rest = F.slice("__cuts", passed + 1, F.lit(step))
+    passed = F.size(F.filter("__coarse", lambda c: c <= at)) * leap
+    rest = F.slice("__cuts", passed + 1, F.lit(leap))
     out = match(warm, _maybe_broadcast(cuts, hot.pieces), keys, "inner")
-    out = out.withColumn("__bucket", passed + F.size(F.filter(rest, lambda c: c <= at)))
-    return out.drop("__cuts", "__coarse")
+    out = out.withColumn("__slice", passed + F.size(F.filter(rest, lambda c: c <= at)))
+    return out.drop("__cuts", "__coarse", "__packed", "__rows", "__lo", "__hi")
 
 
 def _before(totals: DataFrame, keys: Sequence[str], at: str, cols: Sequence[str]) -> DataFrame:
@@ -172,21 +173,37 @@ def _before(totals: DataFrame, keys: Sequence[str], at: str, cols: Sequence[str]
     return totals.select(*keys, at, *[F.sum(c).over(earlier).alias(f"{c}_before") for c in cols])
 
 
-def _numbered(
-    warm: DataFrame, keys: Sequence[str], order: str, tie: str, hot: HotKeys
-) -> DataFrame:
-    """Add ``__pos``: exact 1-based position by (order, tie) within the key."""
-    width = F.col("__hi") - F.col("__lo") + 1
-    share = (F.col(tie).cast("double") - F.col("__lo")) / width
-    warm = warm.withColumn("__packed", _ordinal(warm, order) + F.coalesce(share, F.lit(0.0)))
-    sliced = _bucketed(warm, keys, order, hot)
-    totals = sliced.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = _before(totals, keys, "__bucket", ["__n"])
-    inside = Window.partitionBy(*keys, "__bucket").orderBy(order, tie)
-    numbered = sliced.withColumn("__in", F.row_number().over(inside))
-    numbered = match(numbered, _maybe_broadcast(offsets, hot.pieces), [*keys, "__bucket"])
-    position = F.col("__in") + F.coalesce("__n_before", F.lit(0))
-    return numbered.withColumn("__pos", position).drop("__in", "__n_before", "__bucket", "__packed")
+def _slice_plan(totals: DataFrame, keys: Sequence[str], reach: int) -> DataFrame:
+    """Per slice, the chunks that need its rows: its own, and later ones that look back to it.
+
+    ``totals`` has one row per slice with its exact row count ``__n``, so the
+    rows a chunk gets from before its start are at least ``reach``, or all.
+    """
+    own = F.floor(F.col("__slice") / SLICES)
+    so_far = Window.partitionBy(*keys).orderBy("__slice")
+    slices = totals.select(
+        *keys,
+        "__slice",
+        own.alias("__own"),
+        (F.sum("__n").over(so_far) - F.col("__n")).alias("__start"),
+        F.sum("__n").over(so_far).alias("__end"),
+    )
+    starts = (
+        slices.groupBy(*keys, "__own")
+        .agg(F.min("__start").alias("__start"))
+        .groupBy(*keys)
+        # at most MAX_PIECES entries
+        .agg(F.sort_array(F.collect_list(F.struct("__own", "__start"))).alias("__starts"))
+    )
+    planned = match(slices, starts, keys, "inner")
+    at = F.array_position(F.transform("__starts", lambda s: s["__own"]), F.col("__own"))
+    # every chunk has a row, so none further than `reach` chunks can look back here
+    later = F.slice("__starts", at.cast("int") + 1, F.lit(reach + 1))
+    needing = F.filter(later, lambda s: s["__start"] < F.col("__end") + reach)
+    others = F.transform(needing, lambda s: s["__own"]) if reach else F.array().cast("array<bigint>")
+    return planned.select(
+        *keys, "__slice", "__own", F.concat(F.array("__own"), others).alias("__chunks")
+    )
 
 
 # -- windows -----------------------------------------------------------------
@@ -197,8 +214,8 @@ class Frames:
     """Window columns over one key, ordered by an order column and a unique tie.
 
     ``lookback``: functions of a window spec that need at most ``reach`` rows
-    before the current one. ``running``: values summed over the rows so far; may
-    use lookback columns. ``ranged``: (value, n) summed over rows whose order
+    before the current one. ``running``: values summed over the rows so far;
+    ``running_after``: the same for values made from lookback columns. ``ranged``: (value, n) summed over rows whose order
     value lies in [current - n, current], n None for all earlier ones; rows with
     the same order value share the result. ``whole``: aggregates over the key.
     ``position``: name of the row number.
@@ -207,13 +224,14 @@ class Frames:
     lookback: Mapping[str, Callable[[WindowSpec], Column]] = field(default_factory=dict)
     reach: int = 0
     running: Mapping[str, Column] = field(default_factory=dict)
+    running_after: Mapping[str, Column] = field(default_factory=dict)
     ranged: Mapping[str, tuple[Column, int | None]] = field(default_factory=dict)
     whole: Mapping[str, Column] = field(default_factory=dict)
     position: str | None = None
 
     def names(self) -> list[str]:
         first = [*self.lookback, *([self.position] if self.position else [])]
-        return [*first, *self.running, *self.ranged, *self.whole]
+        return [*first, *self.running, *self.running_after, *self.ranged, *self.whole]
 
 
 def framed(
@@ -256,7 +274,8 @@ def _plain(
     first = {name: make(by_row) for name, make in frames.lookback.items()}
     if frames.position:
         first[frames.position] = F.row_number().over(by_row)
-    rest = {name: F.sum(value).over(so_far) for name, value in frames.running.items()}
+    sums = {**frames.running, **frames.running_after}
+    rest = {name: F.sum(value).over(so_far) for name, value in sums.items()}
     for name, (value, back) in frames.ranged.items():
         rest[name] = F.sum(value).over(_range_frame(keys, order, back))
     for name, value in frames.whole.items():
@@ -270,12 +289,8 @@ def _chunked(
     warm: DataFrame, keys: Sequence[str], order: str, tie: str, frames: Frames, hot: HotKeys
 ) -> DataFrame:
     out = warm
-    if frames.lookback or frames.running or frames.position:
-        out = _numbered(out, keys, order, tie, hot)
-    if frames.lookback or frames.running:
-        out = _by_chunk(out, keys, frames, hot)
-    if frames.position:
-        out = out.withColumn(frames.position, F.col("__pos").cast("int"))
+    if frames.lookback or frames.running or frames.running_after or frames.position:
+        out = _by_chunk(out, keys, order, tie, frames, hot)
     if frames.ranged:
         # one row per (key, order value), so hot values cost a single row here
         cells = warm.groupBy(*keys, order).agg(
@@ -289,7 +304,7 @@ def _chunked(
                 for name, (_, back) in frames.ranged.items()
             ],
         )
-        out = match(out, cells, [*keys, order])
+        out = attach(out, cells, [*keys, order])
     if frames.whole:
         totals = warm.groupBy(*keys).agg(*[v.alias(n) for n, v in frames.whole.items()])
         out = match(out, _maybe_broadcast(totals, hot.pieces), keys)
@@ -297,36 +312,54 @@ def _chunked(
 
 
 def _by_chunk(
-    numbered: DataFrame, keys: Sequence[str], frames: Frames, hot: HotKeys
+    warm: DataFrame, keys: Sequence[str], order: str, tie: str, frames: Frames, hot: HotKeys
 ) -> DataFrame:
-    """Lookback and running columns from chunks of exactly equal length."""
-    size = max(hot.hot_rows, frames.reach, 1)
-    index = F.col("__pos") - 1
-    own = F.floor(index / size)
-    also_next = index % size >= size - frames.reach
-    rows = numbered.withColumn(
-        "__chunk", F.explode(F.when(also_next, F.array(own, own + 1)).otherwise(F.array(own)))
-    ).withColumn("__copy", F.col("__chunk") != own)
+    """Row-based columns: one exchange by (key, chunk), totals of earlier chunks added."""
+    summed = dict(frames.running)
+    if frames.position:
+        summed["__pos"] = F.lit(1)
+    sliced = _sliced(warm, keys, order, tie, hot)
+    totals = sliced.groupBy(*keys, "__slice").agg(
+        F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(n) for n, v in summed.items()]
+    )
+    plan = _slice_plan(totals, keys, frames.reach)
+    if summed:
+        own = F.floor(F.col("__slice") / SLICES).alias("__own")
+        chunks = totals.groupBy(*keys, own).agg(*[F.sum(n).alias(n) for n in summed])
+        plan = match(plan, _before(chunks, keys, "__own", list(summed)), [*keys, "__own"])
+    plan = _maybe_broadcast(plan, hot.pieces * SLICES)
+    rows = match(sliced, plan, [*keys, "__slice"], "inner")
+    # copies of earlier rows are there to look back on and count nowhere
+    rows = rows.withColumn("__chunk", F.explode("__chunks"))
+    rows = rows.withColumn("__mine", F.col("__chunk") == F.col("__own"))
+
     cells = [*keys, "__chunk"]
-    by_row = Window.partitionBy(*cells).orderBy("__pos")
+    by_row = Window.partitionBy(*cells).orderBy(order, tie)
+    so_far = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if frames.lookback:
         rows = rows.withColumns({name: make(by_row) for name, make in frames.lookback.items()})
-    if frames.running:
-        # copies of the previous chunk's last rows count in that chunk only
-        values = {n: F.when(~F.col("__copy"), v) for n, v in frames.running.items()}
-        totals = rows.groupBy(*cells).agg(*[F.sum(v).alias(n) for n, v in values.items()])
-        carried = _before(totals, keys, "__chunk", list(values))
-        so_far = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        rows = rows.withColumns({n: F.sum(v).over(so_far) for n, v in values.items()})
-        types = {n: rows.schema[n].dataType for n in values}
-        rows = match(rows, _maybe_broadcast(carried, hot.pieces), cells)
-        rows = rows.withColumns(
-            {
-                n: F.coalesce(F.col(n) + F.col(f"{n}_before"), n, f"{n}_before").cast(types[n])
-                for n in values
-            }
-        )
-    return rows.filter(~F.col("__copy"))
+    late = dict(frames.running_after)
+    out = rows.withColumns(
+        {
+            n: F.sum(F.when(F.col("__mine"), v)).over(so_far)
+            for n, v in {**summed, **late}.items()
+        }
+    )
+    if late:
+        chunks = rows.filter("__mine").groupBy(*cells)
+        chunks = chunks.agg(*[F.sum(v).alias(n) for n, v in late.items()])
+        carried = _maybe_broadcast(_before(chunks, keys, "__chunk", list(late)), hot.pieces)
+        out = match(out, carried, cells)
+    types = {n: out.schema[n].dataType for n in [*summed, *late]}
+    out = out.filter("__mine").withColumns(
+        {
+            n: F.coalesce(F.col(n) + F.col(f"{n}_before"), n, f"{n}_before").cast(kind)
+            for n, kind in types.items()
+        }
+    )
+    if frames.position:
+        out = out.withColumn(frames.position, F.col("__pos").cast("int"))
+    return out
 
 
 # -- positions and ranks on their own --------------------------------------------

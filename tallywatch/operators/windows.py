@@ -299,7 +299,7 @@ def sessionize(
     frames = Frames(
         lookback={"__prev_ts": lambda w: F.lag(ts).over(w)},
         reach=1,
-        running={"session_id": flag(gap > gap_min)},
+        running_after={"session_id": flag(gap > gap_min)},
     )
     out = framed(df, [account], ts, TIE, frames, hot_rows)
     return out.withColumns(
