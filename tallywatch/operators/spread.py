@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallywatch.session import pinned
+
 HOT_ROWS = 2_000_000  # rows of one key that one task may sort
 MAX_HOT_KEYS = 100_000  # keys the broadcast list of hot keys may hold
 MAX_PIECES = 10_000  # chunks one key is cut into
@@ -136,7 +138,8 @@ def _sliced(
     """Add ``__slice``: consecutive, about equally long stretches of each key.
 
     Cut points are approximate percentiles of (order, tie) packed into one
-    growing number. They decide only how even the slices are, not the result.
+    growing number. They decide only how even the slices are, not the result, as
+    long as every use of them sees the same ones: so they are written down.
     """
     width = F.col("__hi") - F.col("__lo") + 1
     share = (F.col(tie).cast("double") - F.col("__lo")) / width
@@ -162,7 +165,8 @@ def _sliced(
     at = F.col("__packed")
     passed = F.size(F.filter("__coarse", lambda c: c <= at)) * leap
     rest = F.slice("__cuts", passed + 1, F.lit(leap))
-    out = match(warm, _maybe_broadcast(cuts, hot.pieces), keys, "inner")
+    cuts = _maybe_broadcast(pinned(cuts, "cuts"), hot.pieces)
+    out = match(warm, cuts, keys, "inner")
     out = out.withColumn("__slice", passed + F.size(F.filter(rest, lambda c: c <= at)))
     return out.drop("__cuts", "__coarse", "__packed", "__rows", "__lo", "__hi")
 
@@ -396,7 +400,7 @@ def rank_within(
     cuts = distinct.groupBy(group).agg(
         F.percentile_approx(number, shares, max(10_000, 10 * pieces)).alias("__cuts")
     )
-    sliced = attach(distinct, cuts, [group])
+    sliced = attach(distinct, pinned(cuts, "cuts"), [group])
     higher = F.size(F.filter("__cuts", lambda c: c > number))
     last = len(shares) + 1
     sliced = sliced.withColumn(
