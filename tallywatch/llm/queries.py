@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import sharding
-from tallywatch.llm.common import table
+from tallywatch.llm import mixing, ngram_join, packing, sharding
+from tallywatch.llm.common import n_words, numbered, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,3 +38,25 @@ def op1_sharding(spark: SparkSession, d: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@register
+def op8_packing(spark: SparkSession, d: str) -> DataFrame:
+    """Sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, d, "documents"), max_tokens=1024, end_id=2)
+
+
+@register
+def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
+    """Sources weigh 3, 1, 2, repeating, and share 150% of all words."""
+    docs = table(spark, d, "documents").select("doc_id", "source", n_words("text").alias("size"))
+    rows = mixing.taken(
+        numbered(docs, "row", "sizes"), weights=(3, 1, 2), share=1.5, most=2.0
+    )
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register
+def op5_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85."""
+    return ngram_join.similar_groups(table(spark, d, "documents"), n=4)
