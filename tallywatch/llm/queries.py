@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import mixing, ngram_join, packing, sharding
+from tallywatch.llm import (
+    html_text,
+    mixing,
+    neighbours,
+    ngram_join,
+    packing,
+    sharding,
+    sketches,
+    toxicity,
+)
 from tallywatch.llm.common import n_words, numbered, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +69,29 @@ def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
 def op5_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85."""
     return ngram_join.similar_groups(table(spark, d, "documents"), n=4)
+
+
+@register
+def op4_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    """Threshold-scaled sketches of all texts and of their edited forms."""
+    return sketches.fingerprints(table(spark, d, "documents"))
+
+
+@register
+def op10_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """The 10 nearest found of each vector whose vec_id is divisible by 100."""
+    vectors = table(spark, d, "embeddings")
+    return neighbours.search(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
+@register
+def op9_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Scores of all documents, learnt from the labels outside fold 0."""
+    return toxicity.toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@register
+def op7_html_text(spark: SparkSession, d: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", "n_chars")
