@@ -21,7 +21,8 @@ from tallywatch.session import pinned
 
 GOLDEN = 0x9E3779B97F4A7C15  # 2^64 divided by the golden ratio
 BLOCK_WORDS = 64
-CHUNK = 65_536  # slots or documents whose order one task works out
+CHUNK = 65_536  # slots whose order one task works out
+CELL_ROWS = 2_000  # documents of a source whose order one task works out
 BUCKETS_A_SOURCE = 64
 
 
@@ -136,7 +137,7 @@ def _blocks(rows: DataFrame, targets: DataFrame, block_words: int, seed: int) ->
         .join(targets.filter("target > 0"), F.col("src") == F.col("rank"))
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.ceil(share).cast("int") - 1)))
         .withColumn("key", F.xxhash64(F.lit(seed), "epoch", "row"))
-        .withColumn("cells", F.ceil(F.col("rows") / CHUNK))
+        .withColumn("cells", F.ceil(F.col("rows") / CELL_ROWS))
         .withColumn("cell", F.floor(unit(F.col("key")) * F.col("cells")))
     )
     sums = dealt.groupBy("rank", "epoch", "cell").agg(F.sum("size").alias("s"))
