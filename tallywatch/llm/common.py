@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywatch.session import pinned
 
+SMALL_IDS = 1_000_000  # rows of a few numbers that may be broadcast: some 40 MB
+
 #: A word: a run of characters other than the ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -27,6 +30,26 @@ def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
     return pinned(df.withColumn(name, F.monotonically_increasing_id()), label)
 
 
+def file_rows(df: DataFrame, name: str, label: str) -> DataFrame:
+    """``df`` with a long of its own for each row, the same in every read.
+
+    Rows read straight from files are known by file and place there; anything else is
+    written first, see ``numbered``.
+    """
+    try:
+        place = df.select("*", "_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return numbered(df, name, label)
+    path, index = place.columns[-2:]
+    return place.withColumn(name, F.xxhash64(path, index)).select(*df.columns, name)
+
+
+def by_ids(df: DataFrame, ids: DataFrame, name: str, how: str) -> DataFrame:
+    """A join with stored ids, broadcast up to ``SMALL_IDS`` of them, else shuffled."""
+    small = ids.count() <= SMALL_IDS
+    return df.join(F.broadcast(ids) if small else ids, name, how)
+
+
 def n_words(text: str | Column) -> Column:
     """Number of words, 0 for null."""
     text = F.col(text) if isinstance(text, str) else text

@@ -13,10 +13,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywatch.llm.common import WORD, numbered, ranked, unit
+from tallywatch.llm.common import WORD, by_ids, file_rows, ranked, unit
 from tallywatch.session import pinned
 
 GOLDEN = 0x9E3779B97F4A7C15  # 2^64 divided by the golden ratio
@@ -208,28 +208,28 @@ def taken(rows: DataFrame, **how) -> DataFrame:
     )
 
 
-def mixed_documents(docs: DataFrame, size: F.Column, **how) -> DataFrame:
+def mixed_documents(docs: DataFrame, size: Column, **how) -> DataFrame:
     """The documents of the mix, in the columns of ``docs``.
 
     A document comes once for each time the mix takes it. One that it takes in part
     (at most one for each source) comes with the words taken, joined by one space,
     and their number of characters.
     """
-    stored = numbered(docs, "__row", "mix-input")
-    rows = stored.select(F.col("__row").alias("row"), "source", size.alias("size"))
-    _, _, mixed = mix(rows, **how)
-    copies = mixed.groupBy("row", "epoch").agg(F.sum("length").alias("__words"))
-    copies = copies.select(F.col("row").alias("__row"), "__words")
-    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("__words"))
-    part = F.col("__words") < size
-    out = stored.join(copies, "__row")
-    text = F.when(part, F.array_join(words, " ")).otherwise(F.col("text"))
-    out = out.withColumn("text", text)
+    known = file_rows(docs, "__row", "mix-input")
+    rows = known.select(F.col("__row").alias("row"), "source", size.alias("size"))
+    _, _, mixed = mix(pinned(rows, "mix-sizes"), **how)
+    copies = mixed.groupBy(F.col("row").alias("__row"), "epoch").agg(
+        F.sum("length").alias("__words")
+    )
+    copies = pinned(copies.select("__row", "__words"), "copies")
+    out = by_ids(known.withColumn("__size", size), copies, "__row", "inner")
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    words = F.slice(words, F.lit(1), F.col("__words").cast("int"))
+    part = F.col("__words") < F.col("__size")
+    out = out.withColumn(
+        "text", F.when(part, F.array_join(words, " ")).otherwise(F.col("text"))
+    )
     if "n_chars" in docs.columns:
-        out = out.withColumn(
-            "n_chars",
-            F.when(part, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(
-                F.col("n_chars")
-            ),
-        )
+        n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(part, n_chars).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

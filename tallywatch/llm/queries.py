@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tallywatch.llm import (
     html_text,
+    language,
     mixing,
     neighbours,
     ngram_join,
     packing,
+    pii,
     sharding,
     sketches,
     toxicity,
@@ -95,3 +97,16 @@ def op7_html_text(spark: SparkSession, d: str) -> DataFrame:
     """The main text of every page."""
     pages = table(spark, d, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@register
+def op2_pii(spark: SparkSession, d: str) -> DataFrame:
+    """All documents, personal data replaced by surrogates."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs).select("doc_id", "text", "n_entities")
+
+
+@register
+def op6_language(spark: SparkSession, d: str) -> DataFrame:
+    """The language of all documents and pages."""
+    return language.identify(table(spark, d, "documents"), table(spark, d, "pages"))
