@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +22,25 @@ WORD = r"[^\x20\x09-\x0D]+"
 Names = list[str]
 
 
+def importable(query: Callable) -> Callable:
+    """``query``, with this package on the path of Spark's Python workers.
+
+    For sessions begun elsewhere than in the package's folder. Executors on other
+    machines need the package installed, or sent along with ``--py-files``.
+    """
+
+    @wraps(query)
+    def run(spark: SparkSession, *args: object) -> DataFrame:
+        root = str(Path(__file__).resolve().parents[2])
+        env = spark.sparkContext.environment
+        paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+        return query(spark, *args)
+
+    return run
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 

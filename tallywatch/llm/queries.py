@@ -19,7 +19,7 @@ from tallywatch.llm import (
     sketches,
     toxicity,
 )
-from tallywatch.llm.common import n_words, numbered, table
+from tallywatch.llm.common import importable, n_words, numbered, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,7 +27,7 @@ ORACLES: dict[str, str] = {}
 
 
 def register(query: Query) -> Query:
-    QUERIES[query.__name__] = query
+    QUERIES[query.__name__] = query = importable(query)
     return query
 
 
