@@ -32,10 +32,19 @@ def dim_date(
     start: str = rules.CALENDAR_START,
     steps: int = rules.CALENDAR_STEPS,
 ) -> DataFrame:
-    """One row per hour step: calendar attributes and time-of-day risk."""
-    step = F.col("id").cast("int")
+    """One row per hour step from 1 on: calendar attributes and time-of-day risk."""
+    return _calendar(spark.range(1, steps + 1).withColumnRenamed("id", "step"), start)
+
+
+def dim_date_of(df: DataFrame, start: str = rules.CALENDAR_START) -> DataFrame:
+    """The calendar of the steps that occur in ``df``: no row of it lacks its date."""
+    return _calendar(df.select("step").filter("step is not null").distinct(), start)
+
+
+def _calendar(steps: DataFrame, start: str) -> DataFrame:
+    step = F.col("step").cast("int")
     when = step_timestamp(step, start)
-    return spark.range(1, steps + 1).select(
+    return steps.select(
         F.xxhash64(step).alias("step_sk"),
         step.alias("step"),
         F.to_date(when).alias("calendar_date"),

@@ -20,6 +20,7 @@ with a tiny ``hot_rows`` and compare.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -78,37 +79,79 @@ def attach(
 
 @dataclass(frozen=True)
 class HotKeys:
-    table: DataFrame  # keys, __rows, __lo, __hi; at most MAX_HOT_KEYS rows
+    table: DataFrame  # keys, __rows, __lo, __hi, __skip, __first
+    small: bool  # at most MAX_HOT_KEYS of them
     hot_rows: int  # rows per chunk
     most: int  # rows of the largest key
     pieces: int  # chunks over all hot keys, at most
 
 
+def _tie_number(df: DataFrame, tie: str | Column, skip: Column, kind: T.DataType) -> Column:
+    """A number that grows with the tie, or stays: for text its next six bytes."""
+    tie = F.col(tie) if isinstance(tie, str) else tie
+    if not isinstance(kind, T.StringType):
+        return tie.cast("double")
+    bytes_ = F.hex(F.substr(tie, skip + 1, F.lit(6)).cast("binary"))
+    return F.conv(F.rpad(F.substr(bytes_, F.lit(1), F.lit(12)), 12, "0"), 16, 10).cast("double")
+
+
+def _shared_start(a: Column, b: Column) -> Column:
+    """How many characters two texts begin with alike."""
+    alike = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(a), F.lit(1))),
+        lambda i: F.substr(a, i, F.lit(1)) == F.substr(b, i, F.lit(1)),
+    )
+    differ = F.array_position(alike, F.lit(False)).cast("int")
+    return F.when(differ > 0, differ - 1).otherwise(F.length(a))
+
+
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], tie: str, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    tie: str,
+    hot_rows: int = HOT_ROWS,
+    order: str | None = None,
 ) -> HotKeys | None:
     """Keys with more than ``hot_rows`` rows and the range of ``tie`` in each.
 
-    When more keys than a broadcast should hold exceed the limit, the limit
-    rises until they fit: at most rows / limit keys can exceed it.
+    More keys than a broadcast should hold stay a table, which is then joined
+    without being copied to every task. A key is cut into ``MAX_PIECES`` chunks at
+    most; one that would need more gets longer ones, with a warning.
     """
+    kind = df.schema[tie].dataType
+    text = isinstance(kind, T.StringType)
+    skip = _shared_start(F.col("__min"), F.col("__max")) if text else F.lit(0)
+    first = F.min(_ordinal(df, order)) if order else F.lit(0.0)
     counts = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__rows"),
-        F.min(tie).cast("double").alias("__lo"),
-        F.max(tie).cast("double").alias("__hi"),
+        F.min(tie).alias("__min"),
+        F.max(tie).alias("__max"),
+        F.coalesce(first, F.lit(0.0)).alias("__first"),
+    )
+    counts = counts.filter(F.col("__rows") > hot_rows).withColumn("__skip", skip)
+    counts = counts.select(
+        *keys,
+        "__rows",
+        _tie_number(df, "__min", F.col("__skip"), kind).alias("__lo"),
+        _tie_number(df, "__max", F.col("__skip"), kind).alias("__hi"),
+        "__skip",
+        "__first",
     )
-    while True:
-        found = counts.filter(F.col("__rows") > hot_rows).limit(MAX_HOT_KEYS + 1).collect()
-        if len(found) <= MAX_HOT_KEYS:
-            break
-        hot_rows *= 4
+    found = counts.limit(MAX_HOT_KEYS + 1).collect()
     if not found:
         return None
-    most = max(r["__rows"] for r in found)
-    hot_rows = max(hot_rows, math.ceil(most / MAX_PIECES))
-    pieces = sum(math.ceil(r["__rows"] / hot_rows) + 1 for r in found)
-    table = df.sparkSession.createDataFrame(found, counts.schema)
-    return HotKeys(table, hot_rows, most, pieces)
+    small = len(found) <= MAX_HOT_KEYS
+    table = df.sparkSession.createDataFrame(found, counts.schema) if small else pinned(counts, "hot")
+    most = max(r["__rows"] for r in found) if small else table.agg(F.max("__rows")).first()[0]
+    if most > hot_rows * MAX_PIECES:
+        hot_rows = math.ceil(most / MAX_PIECES)
+        warnings.warn(f"a key of {most} rows is cut into chunks of {hot_rows}", stacklevel=2)
+    chunks = F.sum(F.ceil(F.col("__rows") / hot_rows) + 1)
+    if small:
+        pieces = sum(math.ceil(r["__rows"] / hot_rows) + 1 for r in found)
+    else:
+        pieces = table.agg(chunks).first()[0]
+    return HotKeys(table, small, hot_rows, most, pieces)
 
 
 def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
@@ -119,7 +162,7 @@ def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
 
 
 def _ordinal(df: DataFrame, order: str) -> Column:
-    """The order column as a double that grows with it; null sorts first."""
+    """The order column as a double that grows with it."""
     kind = df.schema[order].dataType
     if isinstance(kind, T.TimestampNTZType):
         value = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{order}`)")
@@ -129,7 +172,7 @@ def _ordinal(df: DataFrame, order: str) -> Column:
         value = F.unix_date(order)
     else:
         value = F.col(order)
-    return F.coalesce(value.cast("double"), F.lit(-1e18))
+    return value.cast("double")
 
 
 def _sliced(
@@ -142,8 +185,11 @@ def _sliced(
     long as every use of them sees the same ones: so they are written down.
     """
     width = F.col("__hi") - F.col("__lo") + 1
-    share = (F.col(tie).cast("double") - F.col("__lo")) / width
-    warm = warm.withColumn("__packed", _ordinal(warm, order) + F.coalesce(share, F.lit(0.0)))
+    number = _tie_number(warm, tie, F.col("__skip"), warm.schema[tie].dataType)
+    share = F.coalesce((number - F.col("__lo")) / width, F.lit(0.0))
+    # null sorts first; close enough to the rest for a double to hold the share
+    at = F.coalesce(_ordinal(warm, order), F.col("__first") - 2)
+    warm = warm.withColumn("__packed", at + share)
     most = math.ceil(hot.most / hot.hot_rows) * SLICES
     shares = [i / most for i in range(1, most)]
     wanted = (F.ceil(F.col("__rows") / hot.hot_rows) * SLICES).cast("int")
@@ -168,7 +214,7 @@ def _sliced(
     cuts = _maybe_broadcast(pinned(cuts, "cuts"), hot.pieces)
     out = match(warm, cuts, keys, "inner")
     out = out.withColumn("__slice", passed + F.size(F.filter(rest, lambda c: c <= at)))
-    return out.drop("__cuts", "__coarse", "__packed", "__rows", "__lo", "__hi")
+    return out.drop("__cuts", "__coarse", "__packed", "__rows", "__lo", "__hi", "__skip", "__first")
 
 
 def _before(totals: DataFrame, keys: Sequence[str], at: str, cols: Sequence[str]) -> DataFrame:
@@ -192,19 +238,17 @@ def _slice_plan(totals: DataFrame, keys: Sequence[str], reach: int) -> DataFrame
         (F.sum("__n").over(so_far) - F.col("__n")).alias("__start"),
         F.sum("__n").over(so_far).alias("__end"),
     )
-    starts = (
-        slices.groupBy(*keys, "__own")
-        .agg(F.min("__start").alias("__start"))
-        .groupBy(*keys)
-        # at most MAX_PIECES entries
-        .agg(F.sort_array(F.collect_list(F.struct("__own", "__start"))).alias("__starts"))
-    )
-    planned = match(slices, starts, keys, "inner")
-    at = F.array_position(F.transform("__starts", lambda s: s["__own"]), F.col("__own"))
+    if not reach:
+        return slices.select(*keys, "__slice", "__own", F.array("__own").alias("__chunks"))
     # every chunk has a row, so none further than `reach` chunks can look back here
-    later = F.slice("__starts", at.cast("int") + 1, F.lit(reach + 1))
-    needing = F.filter(later, lambda s: s["__start"] < F.col("__end") + reach)
-    others = F.transform(needing, lambda s: s["__own"]) if reach else F.array().cast("array<bigint>")
+    next_ones = Window.partitionBy(*keys).orderBy("__own").rowsBetween(1, reach + 1)
+    starts = slices.groupBy(*keys, "__own").agg(F.min("__start").alias("__at"))
+    starts = starts.select(
+        *keys, "__own", F.collect_list(F.struct("__own", "__at")).over(next_ones).alias("__later")
+    )
+    planned = match(slices, starts, [*keys, "__own"], "inner")
+    needing = F.filter("__later", lambda s: s["__at"] < F.col("__end") + reach)
+    others = F.transform(needing, lambda s: s["__own"])
     return planned.select(
         *keys, "__slice", "__own", F.concat(F.array("__own"), others).alias("__chunks")
     )
@@ -251,10 +295,10 @@ def framed(
     ``hot_rows=None`` skips the count when no key can be hot.
     """
     keys = list(keys)
-    hot = None if hot_rows is None else hot_keys(df, keys, tie, hot_rows)
+    hot = None if hot_rows is None else hot_keys(df, keys, tie, hot_rows, order)
     if hot is None:
         return _plain(df, keys, order, tie, frames)
-    listed = F.broadcast(hot.table)
+    listed = F.broadcast(hot.table) if hot.small else hot.table
     cool = match(df, listed.select(*keys), keys, "left_anti")
     warm = match(df, listed, keys, "inner")
     columns = [*df.columns, *frames.names()]
@@ -393,9 +437,10 @@ def rank_within(
     in one task. Nulls rank last.
     """
     spark = df.sparkSession
-    pieces = pieces or min(1_000, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    pieces = pieces or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / pieces for i in range(1, pieces)] or [0.5]
     distinct = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
+    distinct = pinned(distinct, "distinct")  # used three times below
     number = F.col(value).cast("double")
     cuts = distinct.groupBy(group).agg(
         F.percentile_approx(number, shares, max(10_000, 10 * pieces)).alias("__cuts")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.operators.quality import IntegrityError, dedupe, has_duplicates
@@ -19,13 +19,20 @@ def unique_source(
 ) -> DataFrame:
     """The source with one row per key, which an upsert needs.
 
-    With ``order`` the first row by it wins; ``strict`` raises on duplicates.
+    With ``order`` the first row by it wins. Without, two rows with one key are an
+    error when the rows are computed; ``strict`` looks for it at once. A key with a
+    null matches nothing, so such rows may repeat.
     """
     if strict and has_duplicates(source, keys):
         raise IntegrityError(f"several source rows share a key in {list(keys)}")
-    if order is None:
-        return source
-    return dedupe(source, keys, order)
+    if order is not None:
+        return dedupe(source, keys, order)
+    several = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+    for key in keys:
+        several = several & F.col(key).isNotNull()
+    error = F.raise_error(f"several source rows share a key in {list(keys)}").cast("boolean")
+    checked = source.withColumn("__several", several)
+    return checked.filter(F.when(F.col("__several"), error).otherwise(True)).drop("__several")
 
 
 def upsert(
@@ -66,12 +73,15 @@ def update_matched(
     on: Sequence[str],
     values: Mapping[str, Column],
     when: Column | None = None,
+    *,
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
     """Set columns of target rows that have a source row and satisfy ``when``.
 
     ``values`` and ``when`` may use target columns and, as ``src_<name>``, those
-    of the source, which must have one row per key.
+    of the source, which must have one row per key, see ``unique_source``.
     """
+    source = unique_source(source, on, order, False)
     marked = source.withColumnsRenamed(
         {c: f"src_{c}" for c in source.columns if c not in on}
     ).withColumn("__hit", F.lit(True))
@@ -91,11 +101,19 @@ def change_set(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Data
     """Rows to insert, update or delete to turn ``before`` into ``after``.
 
     ``change_type`` says which; the columns hold the new row, or the deleted
-    one. Keys must be unique on each side. Null equals null.
+    one. Keys must be unique on each side. Null equals null, and a column that
+    one side lacks is null there.
     """
     attrs = [c for c in after.columns if c not in keys]
-    old = before.select(*keys, F.struct(*attrs).alias("__old"))
-    new = after.select(*keys, F.struct(*attrs).alias("__new"))
+    attrs += [c for c in before.columns if c not in keys and c not in attrs]
+    kinds = {c: df.schema[c].dataType for df in (after, before) for c in df.columns}
+
+    def row_of(df: DataFrame) -> Column:
+        have = [F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]) for c in attrs]
+        return F.struct(*(c.alias(name) for c, name in zip(have, attrs)))
+
+    old = before.select(*keys, row_of(before).alias("__old"))
+    new = after.select(*keys, row_of(after).alias("__new"))
     both = old.withColumn("__in_old", F.lit(True)).join(
         new.withColumn("__in_new", F.lit(True)), list(keys), "full_outer"
     )

@@ -72,12 +72,12 @@ def fraud_volume_by(fact: DataFrame, *by: str) -> DataFrame:
 
 
 def by_step(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Fraud volume per calendar step; steps outside the calendar do not count.
+    """Fraud volume and date per step; a step outside the calendar has no date.
 
     The fact is summed per step first, so the join sees one row per step.
     """
     per_step = measures(fact, ["step"]).select("step", "fraud_volume")
-    joined = dim_date.select("step").join(per_step, "step", "inner")
+    joined = per_step.join(dim_date.select("step", "calendar_date"), "step", "left")
     return joined.orderBy(F.col("fraud_volume").desc(), "step")
 
 
@@ -109,14 +109,15 @@ def daily_fraud(fact: DataFrame, dim_date: DataFrame, dim_type: DataFrame) -> Da
     """Mart: amount and fraud count per calendar weekday and type risk level.
 
     The fact is reduced to one row per (step, type) before it meets the
-    dimensions, so what is joined does not grow with the fact.
+    dimensions, so what is joined does not grow with the fact. A step outside the
+    calendar has no weekday, a type without a row no level; both still count.
     """
     cells = fact.groupBy("step", "type").agg(
         F.sum("amount").alias("amount"), F.count_if(_is_fraud()).alias("frauds")
     )
     return (
-        cells.join(dim_date.select("step", "day_of_week"), "step")
-        .join(dim_type.select("type", "type_risk_level"), "type")
+        cells.join(dim_date.select("step", "day_of_week"), "step", "left")
+        .join(dim_type.select("type", "type_risk_level"), "type", "left")
         .groupBy("day_of_week", "type_risk_level")
         .agg(F.sum("amount").alias("total_amount"), F.sum("frauds").alias("fraud_count"))
     )

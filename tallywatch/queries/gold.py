@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallywatch.operators import dims, quality
@@ -78,8 +79,8 @@ def account_rows(df):
       from n) q""",
 )
 def dim_date(spark, d):
-    calendar = dims.dim_date(spark).drop("step_sk")
-    return normal(spark, d).select("txn_id", "step").join(F.broadcast(calendar), "step")
+    rows = normal(spark, d).select("txn_id", "step")
+    return rows.join(dims.dim_date_of(rows).drop("step_sk"), "step")
 
 
 @register("dim_txn_type", f"select distinct type, {TYPE_SQL} from n")
@@ -164,15 +165,38 @@ def scd2_dedupe_current(spark, d):
     return account_rows(dims.scd2_dedupe_current(both, SECOND_RUN))
 
 
-@register("key_lookup")
+@register(
+    "key_lookup",
+    HISTORY + f""", dim as ({APPLIED[len(HISTORY):]}),
+    m as (select s.*, dim.start_date from s left join dim on s.acct = dim.account_hash
+      and dim.start_date <= case when s.step > {SPLIT_STEP} then '{SECOND_RUN}'
+        else '{FIRST_RUN}' end
+      and (dim.end_date is null or dim.end_date > case when s.step > {SPLIT_STEP}
+        then '{SECOND_RUN}' else '{FIRST_RUN}' end))
+    select txn_id, min(txn_id) over (partition by acct, step, amount, type) as first_transaction,
+      case when start_date is not null then min(txn_id) over (partition by acct, start_date) end
+        as first_account,
+      min(txn_id) over (partition by type) as first_type,
+      min(txn_id) over (partition by step) as first_step from m""",
+)
 def key_lookup(spark, d):
     first, second = _batches(spark, d)
     dim = dims.scd2_update(dims.dim_account(first, FIRST_RUN), second, SECOND_RUN)
     rows = dims.add_keys(silver(spark, d)).withColumn(
         "at", F.when(F.col("step") > SPLIT_STEP, SECOND_RUN).otherwise(FIRST_RUN).cast("timestamp")
     )
-    return dims.lookup_account(rows, dim, "at").select(
-        "txn_id", "transaction_sk", "account_sk", "txn_type_sk", "step_sk"
+    keyed = dims.lookup_account(rows, dim, "at")
+
+    # the hashes are Spark's own: what SQL can tell is which rows share a key
+    def first(key):
+        return F.when(F.col(key).isNotNull(), F.min("txn_id").over(Window.partitionBy(key)))
+
+    return keyed.select(
+        "txn_id",
+        first("transaction_sk").alias("first_transaction"),
+        first("account_sk").alias("first_account"),
+        first("txn_type_sk").alias("first_type"),
+        first("step_sk").alias("first_step"),
     )
 
 

@@ -67,10 +67,11 @@ def m_formatted_amount(spark, d):
 
 @register(
     "v_fraud_by_step",
-    SILVER + f"select step, {FRAUD_SQL} from c where step between 1 and 744 group by step",
+    SILVER + f"select step, {FRAUD_SQL} from c group by step",
 )
 def v_fraud_by_step(spark, d):
-    out = report.by_step(clean(spark, d), dims.dim_date(spark))
+    facts = clean(spark, d)
+    out = report.by_step(facts, dims.dim_date_of(facts))
     return out.select("step", _shown("fraud_volume"))
 
 
@@ -138,7 +139,8 @@ def v_slice_risk(spark, d):
     where {WHEN} >= timestamp '2025-01-10 00:00:00' and {WHEN} < timestamp '2025-01-20 00:00:00'""",
 )
 def v_slice_date(spark, d):
-    inside = report.in_dates(clean(spark, d), dims.dim_date(spark), "2025-01-10", "2025-01-20")
+    facts = clean(spark, d)
+    inside = report.in_dates(facts, dims.dim_date_of(facts), "2025-01-10", "2025-01-20")
     out = report.measures(inside)
     return out.select(
         _shown("total_volume"),
@@ -154,11 +156,11 @@ def v_slice_date(spark, d):
     SILVER + f"""select cast(dayofweek({WHEN}) + 1 as bigint) as day_of_week, type_risk_level,
       cast(sum(amount) as double) as total_amount,
       count(case when isFraud = 1 then 1 end) as fraud_count
-    from c where step between 1 and 744 group by 1, 2""",
+    from c group by 1, 2""",
 )
 def agg_daily_fraud(spark, d):
     facts = clean(spark, d)
-    out = report.daily_fraud(facts, dims.dim_date(spark), dims.dim_txn_type(facts))
+    out = report.daily_fraud(facts, dims.dim_date_of(facts), dims.dim_txn_type(facts))
     return out.select(
         "day_of_week", "type_risk_level", dbl("total_amount").alias("total_amount"), "fraud_count"
     )

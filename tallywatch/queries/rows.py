@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions import labels, ledger, standard, timeparts
@@ -68,9 +69,21 @@ def mask_sha256_plain(spark, d):
     )
 
 
-@register("key_xxhash64")
+@register(
+    "key_xxhash64",
+    """select txn_id, min(txn_id) over (partition by step, acct, amount) as first_with_key,
+      true as key_as_text from n""",
+)
 def key_xxhash64(spark, d):
-    return standard.surrogate_key(masked(spark, d)).select("txn_id", "transaction_sk")
+    # the hash itself is Spark's own: what SQL can tell is which rows share it
+    keyed = standard.surrogate_key(masked(spark, d))
+    same = Window.partitionBy("transaction_sk")
+    text = F.col("transaction_sk").cast("string")
+    return keyed.select(
+        "txn_id",
+        F.min("txn_id").over(same).alias("first_with_key"),
+        (text.cast("long") == F.col("transaction_sk")).alias("key_as_text"),
+    )
 
 
 @register(
@@ -85,18 +98,32 @@ def row_fingerprint(spark, d):
     )
 
 
-@register("exec_lineage")
+@register("exec_lineage", "select txn_id, true as has_job, true as has_partition from t")
 def exec_lineage(spark, d):
-    return standard.add_exec_cols(transactions(spark, d)).select(
-        "txn_id", "spark_job_id", "partition_id"
+    traced = standard.add_exec_cols(transactions(spark, d))
+    return traced.select(
+        "txn_id",
+        F.col("spark_job_id").isNotNull().alias("has_job"),
+        (F.col("partition_id") >= 0).alias("has_partition"),
     )
 
 
-@register("ingest_audit_cols")
+@register(
+    "ingest_audit_cols",
+    """with t as (select event_id from events)
+    select event_id, '2025-01-01 00:00:00' as ingestion_timestamp, true as from_table,
+      'New' as status, true as is_pii_flag, 'run-1' as job_run_id from t""",
+)
 def ingest_audit_cols(spark, d):
     raw = landing.add_audit_cols(read_events(spark, d), "run-1", "2025-01-01 00:00:00")
     return raw.select(
-        "event_id", "ingestion_timestamp", "source_file", "status", "is_pii_flag", "job_run_id"
+        "event_id",
+        F.date_format("ingestion_timestamp", "yyyy-MM-dd HH:mm:ss").alias("ingestion_timestamp"),
+        # the table is one file or a folder of them
+        F.col("source_file").contains("/events.parquet").alias("from_table"),
+        "status",
+        "is_pii_flag",
+        "job_run_id",
     )
 
 

@@ -13,8 +13,8 @@ from tallywatch.streaming import streams
 
 def _event_stream(spark, d):
     schema = read_events(spark, d).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(d).select(
+    # the table's own path: one file, or the folder of its files
+    return spark.readStream.schema(schema).parquet(f"{d}/events.parquet*").select(
         F.col("user_id").alias("account"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("value").alias("amount"),

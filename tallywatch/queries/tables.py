@@ -54,7 +54,10 @@ def src_multi_file(spark, d):
     return shown(_read_back(spark, _landed(spark, d, "src_multi", 5)))
 
 
-@register("src_glob")
+@register(
+    "src_glob",
+    "select count(*) as row_count, 'csv' as kinds, true as several_files from t",
+)
 def src_glob(spark, d):
     path = _landed(spark, d, "src_glob", 3)
     # a file of another kind in the same folder is not read
@@ -62,7 +65,12 @@ def src_glob(spark, d):
         "append"
     ).text(path)
     read = landing.add_audit_cols(_read_back(spark, path), "run-1", "2025-01-01 00:00:00")
-    return read.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
+    kind = F.substring_index("source_file", ".", -1)
+    return read.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.array_join(F.array_sort(F.collect_set(kind)), ",").alias("kinds"),
+        (F.count_distinct("source_file") > 1).alias("several_files"),
+    )
 
 
 @register("src_table", RAW_SQL.format(source="t"))
@@ -115,7 +123,11 @@ def compact_cluster(spark, d):
     return shown(store.read_table(spark, path))
 
 
-@register("tag_columns")
+@register(
+    "tag_columns",
+    """select txn_id, 'PII: Customer Name' as nameorig_note, 'PII: Recipient Name' as namedest_note
+    from t""",
+)
 def tag_columns(spark, d):
     path = scratch_dir(spark, "tag_columns")
     notes = {"nameOrig": "PII: Customer Name", "nameDest": "PII: Recipient Name"}

@@ -51,5 +51,5 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the event time ``ts``."""
-    times = read_events(spark, sf_dir).selectExpr("event_id as txn_id", "ts")
-    return transactions(spark, sf_dir).join(times, "txn_id")
+    text = TXN_SQL.replace("select event_id as txn_id,", "select event_id as txn_id, ts,", 1)
+    return spark.sql(text, events=read_events(spark, sf_dir))

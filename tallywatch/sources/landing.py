@@ -42,11 +42,12 @@ def read_landing(
 def add_txn_id(df: DataFrame, run_id: str, name: str = "txn_id") -> DataFrame:
     """Row id for files that bring none, as the tie-breaker of the windows.
 
-    It depends on how files are split into tasks, so write the rows (bronze)
-    before using it.
+    The run and the row's number in it, so no two rows of any runs share one; in one
+    run the text sorts like the number. It depends on how files are split into tasks,
+    so write the rows (bronze) before using it.
     """
-    row = F.monotonically_increasing_id()
-    return df.select(F.xxhash64(F.lit(run_id), row).alias(name), "*")
+    row = F.lpad(F.monotonically_increasing_id().cast("string"), 19, "0")
+    return df.select(F.concat(F.lit(f"{run_id}-"), row).alias(name), "*")
 
 
 def add_audit_cols(

@@ -109,10 +109,12 @@ def upsert_partitions(
     """Upsert into a partitioned table, rewriting only partitions in ``source``.
 
     A key belongs to one partition: the partition column is part of the key.
-    Spark stages the new partitions and swaps them in when the job commits;
-    running the same upsert again repairs a swap that was cut short.
+    The new partitions are first written and committed to a folder beside the
+    table and swapped in from there. A swap that was cut short is made good by the
+    next call, before it reads the table.
     """
     spark = source.sparkSession
+    finish_swap(spark, path, partition_col)
     values = source.select(partition_col).distinct()
     local = small_copy(values, SMALL_ROWS)
     target = read_table(spark, path)
@@ -124,10 +126,27 @@ def upsert_partitions(
         wanted = F.col(partition_col).isin([v for v in listed if v is not None])
         touched = target.filter(wanted | F.col(partition_col).isNull() if None in listed else wanted)
     merged = upsert(touched, source, [*keys, partition_col], order=order)
-    balanced = merged.select(*target.columns).hint("rebalance", F.col(partition_col))
+    write_table(merged.select(*target.columns), _staged(path), "overwrite", [partition_col])
+    finish_swap(spark, path, partition_col)
+
+
+def _staged(path: str) -> str:
+    return f"{path.rstrip('/')}.staged"
+
+
+def finish_swap(spark: SparkSession, path: str, partition_col: str) -> bool:
+    """Swap in partitions that are committed beside the table; False if there are none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_staged(path))
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+        return False
+    staged = spark.read.schema(read_table(spark, path).schema).parquet(_staged(path))
     (
-        balanced.write.mode("overwrite")
+        staged.hint("rebalance", F.col(partition_col))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(path)
     )
+    fs.delete(folder, True)
+    return True

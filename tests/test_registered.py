@@ -9,14 +9,7 @@ from tallywatch.queries import ORACLES, QUERIES
 from tools.compare import compare, oracle_connection
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {
-    "key_xxhash64",  # hash DuckDB lacks
-    "exec_lineage",
-    "ingest_audit_cols",
-    "src_glob",
-    "tag_columns",
-    "key_lookup",
-}
+ROWS_ONLY = set()
 
 
 @pytest.fixture(scope="module")
