@@ -67,6 +67,34 @@ def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+ORACLES["op5_ngram_join"] = r"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws
+  from documents),
+s as (
+  select distinct doc_id, unnest(case
+      when len(ws) >= 4 then list_transform(range(1, len(ws) - 2),
+        lambda i: array_to_string(ws[i:i + 3], ' '))
+      when len(ws) > 0 then [array_to_string(ws, ' ')] end) as shingle
+  from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (
+  select a.doc_id as x, b.doc_id as y, count(*) as both_have
+  from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+e as (
+  select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y
+  where 100 * both_have >= 85 * (nx.n + ny.n - both_have)),
+l as (select x, y from e union all select y, x from e),
+r as (
+  select doc_id, doc_id as reached from documents
+  union select r.doc_id, l.y from r join l on r.reached = l.x)
+select d.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r.reached) as component_id
+from documents d join r on r.doc_id = d.doc_id left join n on n.doc_id = d.doc_id
+group by d.doc_id"""
+
+
 @register
 def op5_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85."""
