@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallywatch import rules
 from tallywatch.functions.timeparts import calendar_risk, step_timestamp
-from tallywatch.operators.tables import update_matched
+from tallywatch.operators.tables import insert_missing, update_matched
 from tallywatch.operators.windows import latest
 
 ACCOUNT_KEY = "nameOrig_hashed"
@@ -64,6 +64,15 @@ def dim_txn_type(df: DataFrame) -> DataFrame:
     )
 
 
+def refresh_txn_type(dim: DataFrame, df: DataFrame, run_ts: str | dt.datetime) -> DataFrame:
+    """The type dimension with the types that ``df`` adds, loaded at ``run_ts``.
+
+    Insert only: a type that is known keeps its row and its ``last_updated``.
+    """
+    new = dim_txn_type(df).withColumn("last_updated", _at(run_ts))
+    return insert_missing(dim, new.select(*dim.columns), ["txn_type_sk"])
+
+
 def account_states(df: DataFrame, order: Sequence[str] = NEWEST) -> DataFrame:
     """Latest attributes per account; rows without an account are left out."""
     known = df.filter(F.col(ACCOUNT_KEY).isNotNull())

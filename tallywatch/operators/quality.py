@@ -233,6 +233,26 @@ def reconcile(
     )
 
 
+def diverted(
+    silver: DataFrame, fact: DataFrame, quarantine: DataFrame, failures: DataFrame
+) -> DataFrame:
+    """One row: what left between two layers, and whether all of it is accounted for.
+
+    ``quarantine`` and ``failures`` are the stored tables of rows that were put aside;
+    ``explained`` says that they and the fact make up the layer before.
+    """
+    layers = {"silver": silver, "fact": fact, "quarantined": quarantine, "failed": failures}
+    counted = None
+    for name, df in layers.items():
+        one = df.agg(F.count(F.lit(1)).alias("n")).withColumn("layer", F.lit(name))
+        counted = one if counted is None else counted.unionByName(one)
+    out = counted.agg(
+        *[F.max(F.when(F.col("layer") == n, F.col("n"))).alias(f"{n}_rows") for n in layers]
+    )
+    left = F.col("silver_rows") - F.col("fact_rows")
+    return out.withColumn("explained", left == F.col("quarantined_rows") + F.col("failed_rows"))
+
+
 def enforce(report: DataFrame) -> None:
     """Raise when the one-row report of ``reconcile`` does not pass."""
     row = report.first()

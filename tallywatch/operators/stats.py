@@ -29,13 +29,16 @@ def zscore(
     outlier: float = rules.OUTLIER_Z,
     max_rows: int = SMALL_ROWS,
     keep_stats: bool = False,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """z-score of the amount in its group, outlier flag, ratio to the group mean.
 
     Null without a group or where the group has no variance (one row, or equal
-    amounts).
+    amounts). ``rows`` are those to take the statistics from, if others than ``df``:
+    the same rows before windows were added to them.
     """
-    stats = type_stats(df.filter(F.col(by).isNotNull()), by)
+    source = df if rows is None else rows
+    stats = type_stats(source.filter(F.col(by).isNotNull()), by)
     out = attach(df, stats, [by], max_rows)
     amount, average = F.col("amount"), F.col("avg_amount")
     score = F.try_divide(amount.cast("double") - average, F.col("stddev_amount"))

@@ -65,8 +65,9 @@ def silver(raw: DataFrame, salt: str, *, hot_rows: int | None = HOT_ROWS) -> Dat
     Windows come first: what follows is computed after the one exchange instead
     of travelling through it.
     """
-    df = behavior(secure(raw, salt), hot_rows=hot_rows)
-    df = zscore(surrogate_key(label(df)))
+    masked = secure(raw, salt)
+    df = behavior(masked, hot_rows=hot_rows)
+    df = zscore(surrogate_key(label(df)), rows=masked)
     return risk_index(risk_weights(df))
 
 
@@ -142,7 +143,7 @@ def abnormal_outbound(
     columns = ["txn_id", "step", "type", "amount", "nameOrig", "isFraud"]
     masked = mask(normalize(raw.select(*columns)), salt, ["nameOrig"])
     valid = label_type(split_valid(masked).kept)
-    scored = zscore(velocity(valid, hot_rows=hot_rows))
+    scored = zscore(velocity(valid, hot_rows=hot_rows), rows=valid)
     alarming = (F.col("type_risk_level") == rules.TYPE_HIGH) & (F.col("z_score") > z_limit)
     return (
         scored.groupBy(ACCOUNT_KEY)

@@ -21,6 +21,8 @@ from tallywatch.queries.base import (
 )
 from tallywatch.queries.rows import DRAIN_SQL, RATIO_SQL, ROSE_SQL, SEGMENT_SQL, TYPE_SQL, normal
 from tallywatch.queries.windows import FEATURE_SQL
+from tallywatch.session import scratch_dir
+from tallywatch.sources import store
 from tallywatch.sources.events import timed_transactions, transactions
 
 # Silver with the columns the gold queries use; ``v`` valid, ``c`` valid and sane.
@@ -90,6 +92,22 @@ def dim_txn_type(spark, d):
     )
 
 
+@register(
+    "dim_txn_type_refresh",
+    f"""select type, {TYPE_SQL}, case when min(step) <= {SPLIT_STEP} then '{FIRST_RUN}'
+        else '{SECOND_RUN}' end as last_updated
+    from n where type <> 'DEBIT' or step > {SPLIT_STEP} group by type""",
+)
+def dim_txn_type_refresh(spark, d):
+    # the first load lacks a type that the second one brings
+    df = monitor.label(monitor.secure(transactions(spark, d), SALT))
+    first = df.filter((F.col("step") <= SPLIT_STEP) & (F.col("type") != "DEBIT"))
+    dim = dims.dim_txn_type(first).withColumn("last_updated", F.lit(FIRST_RUN).cast("timestamp"))
+    out = dims.refresh_txn_type(dim, df.filter(F.col("step") > SPLIT_STEP), SECOND_RUN)
+    when = F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss").alias("last_updated")
+    return out.select("type", "type_risk_level", "txn_category_risk", "fund_direction", when)
+
+
 @register(
     "dim_account_initial",
     SILVER + f"""select acct as account_hash, {ATTRS}, true as is_current,
@@ -320,6 +338,24 @@ def dq_reconcile(spark, d):
     )
 
 
+@register(
+    "dq_diverted",
+    SILVER + """select (select count(*) from n) as silver_rows, (select count(*) from c) as fact_rows,
+      (select count(*) from n) - (select count(*) from v) as quarantined_rows,
+      (select count(*) from v) - (select count(*) from c) as failed_rows, true as explained""",
+)
+def dq_diverted(spark, d):
+    # what is put aside is stored, and counted from there
+    df = silver(spark, d)
+    kept, quarantine, failures = monitor.clean_rows(df)
+    stored = []
+    for name, rows in (("quarantine", quarantine), ("math-failures", failures)):
+        path = scratch_dir(spark, name)
+        store.write_table(rows, path)
+        stored.append(store.read_table(spark, path))
+    return quality.diverted(df, kept, *stored)
+
+
 @register("dq_enforce", RECON + "select orphan_rows = 0 and fact_rows <= silver_rows as passes from r")
 def dq_enforce(spark, d):
     return _report(spark, d).select("passes")
