@@ -35,7 +35,8 @@ def _event_stream(spark, d):
 def stream_velocity(spark, d):
     base, mark = scratch_dir(spark, "velocity"), scratch_dir(spark, "velocity-mark")
     result = streams.stream_velocity(_event_stream(spark, d), account="account")
-    streams.replace_available(result, base, mark).awaitTermination()
+    keys = ["account", "window_start"]
+    streams.upsert_available(result, base, keys, mark, None, "update").awaitTermination()
     return store.read_version(spark, base).select(
         "account",
         F.col("window_start").cast("string").alias("window_start"),
@@ -72,9 +73,10 @@ def stream_sessions(spark, d):
 )
 def stream_upsert(spark, d):
     # the same files twice, as after a lost checkpoint: the second run changes nothing
-    base = scratch_dir(spark, "upsert")
+    path = scratch_dir(spark, "upsert")
     for _ in range(2):
         mark = scratch_dir(spark, "upsert-mark")
-        stream = _event_stream(spark, d)
-        streams.upsert_available(stream, base, ["txn_id"], mark, ["ts"]).awaitTermination()
-    return store.read_version(spark, base).select("txn_id", "account", "amount")
+        stream = _event_stream(spark, d).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+        query = streams.upsert_parts_available(stream, path, ["txn_id"], "day", mark, ["ts"])
+        query.awaitTermination()
+    return store.read_table(spark, path).select("txn_id", "account", "amount")

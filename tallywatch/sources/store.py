@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywatch.operators.spread import SMALL_ROWS, small_copy
 from tallywatch.operators.tables import upsert
@@ -105,6 +106,7 @@ def upsert_partitions(
     partition_col: str,
     *,
     order: Sequence[str] | None = None,
+    schema: T.StructType | None = None,
 ) -> None:
     """Upsert into a partitioned table, rewriting only partitions in ``source``.
 
@@ -114,10 +116,10 @@ def upsert_partitions(
     next call, before it reads the table.
     """
     spark = source.sparkSession
-    finish_swap(spark, path, partition_col)
+    finish_swap(spark, path, partition_col, schema)
     values = source.select(partition_col).distinct()
     local = small_copy(values, SMALL_ROWS)
-    target = read_table(spark, path)
+    target = read_table(spark, path) if schema is None else spark.read.schema(schema).parquet(path)
     if local is None:
         touched = target.join(values, partition_col, "left_semi")
     else:
@@ -127,20 +129,30 @@ def upsert_partitions(
         touched = target.filter(wanted | F.col(partition_col).isNull() if None in listed else wanted)
     merged = upsert(touched, source, [*keys, partition_col], order=order)
     write_table(merged.select(*target.columns), _staged(path), "overwrite", [partition_col])
-    finish_swap(spark, path, partition_col)
+    finish_swap(spark, path, partition_col, schema)
 
 
 def _staged(path: str) -> str:
     return f"{path.rstrip('/')}.staged"
 
 
-def finish_swap(spark: SparkSession, path: str, partition_col: str) -> bool:
-    """Swap in partitions that are committed beside the table; False if there are none."""
+def table_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def finish_swap(
+    spark: SparkSession, path: str, partition_col: str, schema: T.StructType | None = None
+) -> bool:
+    """Swap in partitions that are committed beside the table; False if there are none.
+
+    ``schema`` is the table's, for one that has no partition yet.
+    """
     folder = spark._jvm.org.apache.hadoop.fs.Path(_staged(path))
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
         return False
-    staged = spark.read.schema(read_table(spark, path).schema).parquet(_staged(path))
+    staged = spark.read.schema(schema or read_table(spark, path).schema).parquet(_staged(path))
     (
         staged.hint("rebalance", F.col(partition_col))
         .write.mode("overwrite")

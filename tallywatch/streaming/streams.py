@@ -74,19 +74,54 @@ def _each_batch(
     )
 
 
+def _begin(result: DataFrame, base: str) -> None:
+    """An empty first version, so that a stream without rows leaves a table too."""
+    spark = result.sparkSession
+    if store.read_version(spark, base) is None:
+        store.commit(spark.createDataFrame([], result.schema), base)
+
+
 def upsert_available(
-    stream: DataFrame, base: str, keys: Sequence[str], checkpoint: str, order: Sequence[str]
+    stream: DataFrame,
+    base: str,
+    keys: Sequence[str],
+    checkpoint: str,
+    order: Sequence[str] | None,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Upsert what is available now into a versioned table, one version per batch.
 
     A batch that is repeated after a failure gives the same table. ``order``
-    decides between rows of one batch that share a key.
+    decides between rows of one batch that share a key. An aggregation in ``update``
+    mode brings the groups that changed; those behind the watermark leave the state.
     """
+    _begin(stream, base)
 
     def apply(batch: DataFrame, _: int) -> None:
         current = store.read_version(batch.sparkSession, base)
-        empty = batch.limit(0) if current is None else current
-        store.commit(upsert(empty, batch, keys, order=order), base)
+        store.commit(upsert(current, batch, keys, order=order), base)
+
+    return _each_batch(stream, apply, checkpoint, mode)
+
+
+def upsert_parts_available(
+    stream: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_col: str,
+    checkpoint: str,
+    order: Sequence[str],
+) -> StreamingQuery:
+    """The same into a partitioned table: a batch rewrites the partitions it touches."""
+    spark = stream.sparkSession
+    if not store.table_exists(spark, path):
+        first = spark.createDataFrame([], stream.schema)
+        store.write_table(first, path, partition_by=[partition_col])
+
+    def apply(batch: DataFrame, _: int) -> None:
+        store.upsert_partitions(
+            batch, path, keys, partition_col, order=order, schema=stream.schema
+        )
 
     return _each_batch(stream, apply, checkpoint, "append")
 
@@ -137,5 +172,10 @@ def stream_sessions(
 
 
 def replace_available(result: DataFrame, base: str, checkpoint: str) -> StreamingQuery:
-    """Keep the complete result of an aggregation as the newest table version."""
+    """Keep the complete result of an aggregation as the newest table version.
+
+    The whole result stays in the state; for aggregations that cannot run in update
+    mode (sessions). Others should go through ``upsert_available``.
+    """
+    _begin(result, base)
     return _each_batch(result, lambda batch, _: store.commit(batch, base), checkpoint, "complete")

@@ -148,3 +148,36 @@ def test_streams_read_a_folder_of_files(spark, folder, name):
     events.repartition(3).write.parquet(f"{folder}/events.parquet")
     got, want = (QUERIES[name](spark, d) for d in (folder, "/root/testdata/sf0.001"))
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_a_stream_without_rows_leaves_a_table(spark, folder):
+    from tallywatch.streaming import streams
+
+    (spark.createDataFrame([], "k int, v string")).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("k int, v string").parquet(f"{folder}/in")
+    base = f"{folder}/t"
+    streams.upsert_available(stream, base, ["k"], f"{folder}/mark", ["v"]).awaitTermination()
+    assert store.read_version(spark, base).count() == 0
+
+
+def test_state_is_dropped_behind_the_watermark(spark, folder):
+    from tallywatch.streaming import streams
+
+    schema = "account string, ts timestamp, amount double"
+
+    def land(day):
+        rows = f"select 'a' account, timestamp'2025-01-{day:02} 10:00:00' ts, 1.0D amount"
+        spark.sql(rows).write.mode("append").parquet(f"{folder}/in")
+
+    kept = []
+    for day in range(1, 5):
+        land(day)
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        result = streams.stream_velocity(stream, account="account")
+        query = streams.upsert_available(
+            result, f"{folder}/t", ["account", "window_start"], f"{folder}/mark", None, "update"
+        )
+        query.awaitTermination()
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert store.read_version(spark, f"{folder}/t").count() == 4 * 24
+    assert max(kept) < 3 * 24
