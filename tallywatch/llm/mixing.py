@@ -118,11 +118,26 @@ def _slots(targets: DataFrame, block_words: int) -> DataFrame:
     counts = found.groupBy("rank", "chunk").agg(F.count("*").alias("n"))
     until = F.sum("n").over(Window.partitionBy("rank").orderBy("chunk")) - F.col("n")
     place = F.row_number().over(Window.partitionBy("rank", "chunk").orderBy("slot")) - 1
-    return (
+    hit = (
         found.withColumn("place", place)
         .join(counts.select("rank", "chunk", until.alias("until")), ["rank", "chunk"])
         .select("slot", "rank", (F.col("until") + F.col("place")).alias("k"))
     )
+    # what the points have missed comes after them, in random order
+    have = counts.groupBy("rank").agg(F.sum("n").alias("have"))
+    missing = (
+        targets.join(have, "rank", "left")
+        .select(
+            "rank",
+            F.coalesce("have", F.lit(0)).alias("have"),
+            F.ceil(F.round("target") / block_words).alias("need"),
+        )
+        .filter("have < need")
+        .select("rank", F.explode(F.sequence(F.col("have"), F.col("need") - 1)).alias("k"))
+    )
+    order = (F.xxhash64("rank", "k"), F.col("rank"), F.col("k"))
+    missing = ranked(missing, "at", *order, label="missing-slots")
+    return hit.unionByName(missing.select((F.col("at") + n).alias("slot"), "rank", "k"))
 
 
 def _blocks(rows: DataFrame, targets: DataFrame, block_words: int, seed: int) -> DataFrame:
@@ -183,7 +198,8 @@ def mix(
     Returns the rows with their source's ``source_size`` and ``target``; the
     sources; and the mix itself, ``slot, row, epoch, start, length``: the words of
     each slot. A slot whose source has run out of words (targets are whole words,
-    slots are blocks) has none. Rows without words are never taken.
+    slots are blocks) has none; blocks that no point has hit get slots at the end, so
+    each source has its target to the word. Rows without words are never taken.
     """
     targets = pinned(source_targets(rows, weights, share, most), "targets")
     named = targets.select(F.col("source").alias("s"), "rank", "source_size", "target")
@@ -212,8 +228,8 @@ def mixed_documents(docs: DataFrame, size: Column, **how) -> DataFrame:
     """The documents of the mix, in the columns of ``docs``.
 
     A document comes once for each time the mix takes it. One that it takes in part
-    (at most one for each source) comes with the words taken, joined by one space,
-    and their number of characters.
+    (at most one for each source) comes up to the last word taken, its white space as
+    it was, and with its number of characters.
     """
     known = file_rows(docs, "__row", "mix-input")
     rows = known.select(F.col("__row").alias("row"), "source", size.alias("size"))
@@ -223,11 +239,11 @@ def mixed_documents(docs: DataFrame, size: Column, **how) -> DataFrame:
     )
     copies = pinned(copies.select("__row", "__words"), "copies")
     out = by_ids(known.withColumn("__size", size), copies, "__row", "inner")
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
     words = F.slice(words, F.lit(1), F.col("__words").cast("int"))
     part = F.col("__words") < F.col("__size")
     out = out.withColumn(
-        "text", F.when(part, F.array_join(words, " ")).otherwise(F.col("text"))
+        "text", F.when(part, F.array_join(words, "")).otherwise(F.col("text"))
     )
     if "n_chars" in docs.columns:
         n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)

@@ -96,3 +96,22 @@ def test_documents_of_the_mix(spark):
 def test_query(spark):
     rows = queries.op3_mixing(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and all(r.taken <= 2 * r.size for r in rows)
+
+
+def test_short_sources_get_their_words(spark):
+    rows = [(i, words(400, i), "en", f"s{i % 20:02}", 0) for i in range(200)]
+    rows += [(1000 + i, words(10 + i % 40, i), "en", f"t{i:02}", 0) for i in range(60)]
+    out = mixed(spark, spark.createDataFrame(rows, SCHEMA))
+    taken, target = {}, {}
+    for r in out:
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+    assert {s: n for s, n in taken.items() if abs(n - target[s]) > 0.5} == {}
+
+
+def test_a_cut_keeps_white_space(spark):
+    rows = [(i, "\n".join(words(30 + i, i).split()), "en", "ab"[i % 2], 1) for i in range(40)]
+    out = mixing.mixed_documents(spark.createDataFrame(rows, SCHEMA), n_words("text")).collect()
+    text = {r[0]: r[1] for r in rows}
+    assert all(text[r.doc_id].startswith(r.text) for r in out)
+    assert any(r.text != text[r.doc_id] for r in out)
