@@ -17,6 +17,7 @@ from tallywatch.session import pinned
 
 KEY = "surrogate-key"
 ROUNDS = 40  # tries for a replacement that nobody else has, before it counts as an error
+GROW = 4  # tries after which replacements get longer, and again after as many
 
 _TITLES = {  # fixed values: forms of address by gender
     "m": "Mr Herr Monsieur Señor Sr Don Sir г-н господин Κύριος κ",
@@ -175,18 +176,28 @@ def entity_of(kind: Column, mention: Column) -> Column:
 
 
 def surrogate_of(kind: Column, entity: Column, attempt: Column, key: str) -> Column:
-    """The entity's replacement, in the form of an entity."""
+    """The entity's replacement, in the form of an entity.
+
+    From attempt ``GROW`` on names, addresses, secrets and phone numbers get longer by
+    the attempt, so that there are enough of them for any number of entities.
+    """
+    longer = F.floor(attempt / GROW).cast("int")
+
+    def more(one) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.greatest(longer, F.lit(1))), one)
+        return F.when(longer > 0, F.array_join(each, "")).otherwise("")
     salted = [F.concat_ws("|", F.lit(f"{key}{n}"), kind, entity, attempt.cast("string")) for n in "ab"]
     digest = F.concat(*(F.sha2(s.cast("binary"), 256) for s in salted))
+    digits = more(lambda i: F.lpad((_value(digest, i + 8) % 100).cast("string"), 2, "0"))
     shaped = _shaped(entity, digest)
 
     hexadecimal = entity.rlike("^[0-9a-f]+$")
-    secret = _shaped(entity, digest, hexadecimal)
+    secret = F.concat(_shaped(entity, digest, hexadecimal), digits)
 
     local = F.substring_index(entity, "@", 1)
     labels = F.size(F.split(F.substring_index(entity, "@", -1), r"\."))
     host = F.when(labels > 2, F.concat(F.lit("mail"), (_value(digest, 29) % 1000).cast("string"), F.lit("."))).otherwise("")
-    email = F.concat(_shaped(local, digest), F.lit("@"), host, F.lit("example."), _pick("com org net", _value(digest, 30)))
+    email = F.concat(_shaped(local, digest), digits, F.lit("@"), host, F.lit("example."), _pick("com org net", _value(digest, 30)))
 
     octets = [(_value(digest, i) % 254 + 1).cast("string") for i in range(4)]
     card = _with_check_digit(
@@ -195,7 +206,7 @@ def surrogate_of(kind: Column, entity: Column, attempt: Column, key: str) -> Col
     # a country code stays; area codes don't start with 0 or 1
     code = F.regexp_extract(entity, r"^(\+(?:1|7|\d\d)?)", 1)
     at = F.length(code) + 1
-    phone = F.concat(code, (_value(digest, 30) % 8 + 2).cast("string"), F.substr(shaped, at + 1, F.length(entity)))
+    phone = F.concat(code, (_value(digest, 30) % 8 + 2).cast("string"), F.substr(shaped, at + 1, F.length(entity)), digits)
     ssn = F.concat_ws("", (_value(digest, 30) % 100 + 900).cast("string"), F.substr(shaped, F.lit(4), F.lit(6)))
     iban = _iban(F.substr(entity, F.lit(1), F.lit(2)), F.substr(shaped, F.lit(5), F.length(entity)))
     cloud = F.concat(F.substr(entity, F.lit(1), F.lit(4)), F.substr(shaped, F.lit(5), F.lit(16)))
@@ -208,6 +219,7 @@ def surrogate_of(kind: Column, entity: Column, attempt: Column, key: str) -> Col
     name = F.lit(None).cast("string")
     for (g, s), names in GIVEN.items():
         stems = [_pick(SYLLABLES[s], _value(digest, i)) for i in range(3)]
+        stems.append(more(lambda i: _pick(SYLLABLES[s], _value(digest, i + 8))))
         surname = F.concat(F.initcap(F.concat(*stems)), _pick(ENDINGS[g, s], _value(digest, 3)))
         firsts = F.array_join(
             F.transform(F.sequence(F.lit(1), F.greatest(parts - 1, F.lit(1))), lambda i: _pick(names, _value(digest, i + 3))), " ",
@@ -241,7 +253,7 @@ def written_as(kind: Column, mention: Column, surrogate: Column) -> Column:
                 (acc["at"] + 1).alias("at"),
             ),
         ).otherwise(F.struct(F.concat(acc["out"], x["c"]).alias("out"), acc["at"].alias("at"))),
-        lambda acc: acc["out"],
+        lambda acc: F.concat(acc["out"], F.substr(surrogate, acc["at"], F.length(surrogate))),
     )
     before = F.regexp_extract(mention, r"(?s)^(.*?[=:]\s*[\"']?).*$", 1)
     title = F.regexp_extract(mention, f"^({_TITLE} )", 1)
@@ -258,18 +270,24 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """``kind, entity, surrogate`` for distinct ``entities`` (kind, entity).
 
     Where two entities would share a surrogate, or it is an entity itself, all but one
-    try again, until each has its own.
+    try again, until each has its own. Names are compared as they are read, without the
+    gender.
     """
+
+    def read(value: str) -> Column:
+        bare = F.substring_index(value, "|", -1)
+        return F.when(F.col("kind") == "name", bare).otherwise(F.col(value))
+
     entities = pinned(entities.distinct(), "entities")
     kind, entity = F.col("kind"), F.col("entity")
     named = entities.withColumn("attempt", F.lit(0))
     for attempt in range(ROUNDS):
         named = named.withColumn("surrogate", surrogate_of(kind, entity, F.col("attempt"), key))
         named = pinned(named, "surrogates")
-        first = F.min(F.struct("attempt", "entity")).over(Window.partitionBy("kind", "surrogate"))
-        real = entities.select(F.col("kind").alias("k"), F.col("entity").alias("e"))
+        first = F.min(F.struct("attempt", "entity")).over(Window.partitionBy("kind", read("surrogate")))
+        real = entities.select(F.col("kind").alias("k"), read("entity").alias("e")).distinct()
         taken = named.withColumn("first", first["entity"]).join(
-            real, (F.col("k") == kind) & (F.col("e") == F.col("surrogate")), "left"
+            real, (F.col("k") == kind) & (F.col("e") == read("surrogate")), "left"
         )
         clash = taken.filter(F.col("e").isNotNull() | (F.col("first") != entity))
         clash = clash.select("kind", "entity")

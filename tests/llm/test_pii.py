@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallywatch.llm import pii, queries
 from tests.llm.edges import SCHEMA, clashing, edge_docs, edge_rows, empty_docs
@@ -97,3 +98,22 @@ def test_query_has_no_python_and_leaves_no_entity(spark):
     }
     whole = "\n".join(r.text for r in df.collect())
     assert len(found) > 50 and not [f for f in found if f in whole]
+
+
+def test_more_entities_than_short_surrogates(spark):
+    """27,000 surnames and 2,500 mailboxes of two letters, more than 16,384 and 2,028."""
+    rows = [("name", f"{'mf'[i % 2]}|Xa{i}") for i in range(20_000)]
+    rows += [("name", f"m|Xb{i}") for i in range(7_000)]
+    rows += [("email", f"hr@firm{i}.com") for i in range(2_500)]
+    out = pii.surrogates(spark.createDataFrame(rows, "kind string, entity string")).collect()
+    assert len(out) == len(rows)
+    names = [r.surrogate.split("|")[1] for r in out if r.kind == "name"]
+    assert len(set(names)) == len(names) and all(n.isalpha() for n in names)
+    mails = [r.surrogate for r in out if r.kind == "email"]
+    assert len(set(mails)) == len(mails) and all(re.fullmatch(pii.EMAIL.replace(r"\p{L}\p{N}", r"\w").replace(r"\p{L}", "[a-z]"), m) for m in mails)
+
+
+def test_a_longer_phone_number_is_written_whole(spark):
+    df = spark.createDataFrame([("+1 555", "+19876543")], "mention string, surrogate string")
+    out = df.select(pii.written_as(F.lit("phone"), F.col("mention"), F.col("surrogate"))).first()[0]
+    assert out == "+1 9876543"
