@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.session import pinned
 
-AFFIXES = 60_000  # beginnings and endings of the model, the most frequent: some 5 MB
+AFFIXES = 60_000  # beginnings and endings of a model that is sent to all workers, some 5 MB; a larger one is joined
 WORD_CACHE = 300_000
 TEMPER = 40.0  # words that a text counts for at most, its words being dependent
 SMOOTH = 20.0  # rows that a level of priors counts for at the level below
@@ -59,22 +59,32 @@ def affix_counts(texts: DataFrame) -> DataFrame:
     return counts.groupBy("affix", "lang").agg(F.sum("n").alias("n"))
 
 
-def text_model(texts: DataFrame) -> tuple[list[str], dict[str, np.ndarray], np.ndarray]:
-    """Languages, log-likelihoods of each affix, and those of any other."""
+def text_model(
+    texts: DataFrame,
+) -> tuple[list[str], dict[str, np.ndarray] | DataFrame, np.ndarray]:
+    """Languages, log-likelihoods of each affix, and those of any other.
+
+    More than ``AFFIXES`` affixes stay a table (affix, logs).
+    """
     counts = pinned(affix_counts(texts), "affixes")
     totals = dict(counts.groupBy("lang").agg(F.sum("n")).collect())
     langs = sorted(totals)
     if not langs:
         return [], {}, np.zeros(0)
-    top = counts.groupBy("affix").agg(F.sum("n").alias("all"))
-    top = top.orderBy(F.desc("all"), "affix").limit(AFFIXES).select("affix")
-    grams: dict[str, np.ndarray] = {}
-    for affix, lang, n in counts.join(top, "affix").collect():
-        grams.setdefault(affix, np.zeros(len(langs)))[langs.index(lang)] = n
+    n_affixes = counts.select("affix").distinct().count()
     size = np.array([totals[x] for x in langs], float)
     prior = 0.5
-    floor = size + prior * (len(grams) + 1)
-    return langs, {a: np.log((n + prior) / floor) for a, n in grams.items()}, np.log(prior / floor)
+    floor = size + prior * (n_affixes + 1)
+    other = np.log(prior / floor)
+    if n_affixes > AFFIXES:
+        found = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)) for x in langs]
+        logs = [F.log((n + prior) / float(f)) for n, f in zip(found, floor)]
+        table = counts.groupBy("affix").agg(F.array(*logs).alias("logs"))
+        return langs, pinned(table, "affix-logs"), other
+    grams: dict[str, np.ndarray] = {}
+    for affix, lang, n in counts.collect():
+        grams.setdefault(affix, np.zeros(len(langs)))[langs.index(lang)] = n
+    return langs, {a: np.log((n + prior) / floor) for a, n in grams.items()}, other
 
 
 def page_text(page: str | None) -> str:
@@ -83,9 +93,56 @@ def page_text(page: str | None) -> str:
     return html.unescape(TAGS.sub(" ", page or ""))
 
 
+def _by_affix(rows: DataFrame, grams: DataFrame, other: np.ndarray, keep: list[str]) -> DataFrame:
+    """``likelihoods`` for a table of affixes: joined with the distinct affixes of each row."""
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, counts, shares = [], [], []
+            for text, is_page in zip(batch.column("text"), batch.column("is_page").to_pylist()):
+                text = page_text(text.as_py()) if is_page else text.as_py() or ""
+                words, out = WORDS.findall(text.lower()), Counter()
+                for word, n in Counter(words).items():
+                    for a in affixes(word):
+                        out[a] += n
+                names.append(list(out.keys()))
+                counts.append(list(out.values()))
+                shares.append(min(1.0, TEMPER / len(words)) if words else 0.0)
+            columns = [batch.column(c) for c in ["__id", *keep]]
+            columns += [
+                pa.array(shares, pa.float64()),
+                pa.array(names, pa.list_(pa.string())),
+                pa.array(counts, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["__id", *keep, "__share", "__names", "__n"])
+
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    each = (
+        rows.select(F.monotonically_increasing_id().alias("__id"), *keep, "text", "is_page")
+        .mapInArrow(told, f"__id long, {kinds}, __share double, __names array<string>, __n array<long>")
+        .select("__id", *keep, "__share", F.explode_outer(F.arrays_zip("__names", "__n")).alias("__x"))
+        .select("__id", *keep, "__share", F.col("__x.__names").alias("affix"), F.col("__x.__n").alias("__n"))
+    )
+    sums = [
+        F.coalesce(
+            F.sum(F.col("__n") * F.coalesce(F.get("logs", F.lit(i)), F.lit(float(o)))), F.lit(0.0)
+        )
+        for i, o in enumerate(other)
+    ]
+    scaled = F.transform("__sums", lambda x: x * F.col("__share"))
+    return (
+        each.join(grams, "affix", "left")
+        .groupBy("__id", *keep, "__share")
+        .agg(F.array(*sums).alias("__sums"))
+        .select(*keep, scaled.alias("loglik"))
+    )
+
+
 def likelihoods(rows: DataFrame, model: tuple, keep: list[str]) -> DataFrame:
     """``keep`` with ``loglik``, one number a language, of ``rows`` (text, is_page)."""
     langs, grams, other = model
+    if isinstance(grams, DataFrame):
+        return _by_affix(rows, grams, other, keep)
     shared = rows.sparkSession.sparkContext.broadcast((grams, other))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +201,8 @@ def address(url: Column) -> dict[str, Column]:
 
 def declared(page: Column) -> Column:
     """The language that the html element declares, without its region."""
-    code = F.regexp_extract(page, r"(?is)^.{0,2000}?<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1)
+    page = F.regexp_replace(page, r"(?s)<!--.*?(?:-->|\z)", "")
+    code = F.regexp_extract(page, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1)
     return F.lower(F.nullif(code, F.lit("")))
 
 

@@ -74,3 +74,31 @@ def test_held_out_languages(spark):
 def test_query(spark):
     rows = queries.op6_language(spark, "/root/testdata/sf0.001").collect()
     assert sum(r.page_id is None for r in rows) == 200 and len(rows) > 200
+
+
+def test_models_beyond_what_is_sent_to_workers(spark, monkeypatch):
+    """No affix is dropped: a model that is too large to send out is joined."""
+    texts = ["the house and the garden", "das Haus und der Garten", "", None, "and garden", "und xyzzy"]
+    docs = spark.createDataFrame(
+        [(i, t, ["en", "de"][i % 2], "a", 0) for i, t in enumerate(texts)],
+        "doc_id long, text string, lang string, source string, n_chars int",
+    )
+    rows = docs.select("doc_id", "text", language.F.lit(False).alias("is_page"))
+
+    def found():
+        model = language.text_model(docs)
+        out = language.likelihoods(rows, model, ["doc_id"]).collect()
+        return isinstance(model[1], dict), {r.doc_id: r.loglik for r in out}
+
+    small, want = found()
+    monkeypatch.setattr(language, "AFFIXES", 3)
+    large, got = found()
+    assert small and not large and len(got) == len(texts)
+    assert all(got[i] == pytest.approx(want[i]) for i in want)
+
+
+def test_declared_after_a_long_comment(spark):
+    pages = ["<!-- <html lang=fr> " + "x " * 5000 + "--><html class=a lang=de>", "y " * 9000 + "<html lang='en-GB'>", None, "<p>"]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string")
+    out = df.select("i", language.declared(language.F.col("html")).alias("d")).collect()
+    assert [r.d for r in sorted(out)] == ["de", "en", None, None]
