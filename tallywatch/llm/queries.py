@@ -18,6 +18,7 @@ from tallywatch.llm import (
     sharding,
     sketches,
     toxicity,
+    whitening,
 )
 from tallywatch.llm.common import importable, n_words, numbered, table
 
@@ -138,3 +139,9 @@ def op2_pii(spark: SparkSession, d: str) -> DataFrame:
 def op6_language(spark: SparkSession, d: str) -> DataFrame:
     """The language of all documents and pages."""
     return language.identify(table(spark, d, "documents"), table(spark, d, "pages"))
+
+
+@register
+def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
+    """All embeddings on the 16 largest components."""
+    return whitening.whiten(table(spark, d, "embeddings"), most=16)
