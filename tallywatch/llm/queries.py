@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallywatch.llm import (
     html_text,
     language,
+    licenses,
     mixing,
     neighbours,
     ngram_join,
@@ -145,3 +146,9 @@ def op6_language(spark: SparkSession, d: str) -> DataFrame:
 def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
     """All embeddings on the 16 largest components."""
     return whitening.whiten(table(spark, d, "embeddings"), most=16)
+
+
+@register
+def op13_licenses(spark: SparkSession, d: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return licenses.summarised(licenses.scan(table(spark, d, "documents")))
