@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.llm import (
+    collocations,
     html_text,
     language,
     licenses,
@@ -152,3 +153,50 @@ def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
 def op13_licenses(spark: SparkSession, d: str) -> DataFrame:
     """Licence notices in all documents."""
     return licenses.summarised(licenses.scan(table(spark, d, "documents")))
+
+
+ORACLES["op11_collocations"] = r"""
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+w as (select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as ws from p),
+g as (
+  select lang, k, unnest(list_transform(range(1, len(ws) - k + 2),
+      lambda i: array_to_string(ws[i:i + k - 1], ' '))) as phrase
+  from w, (select unnest([1, 2, 3, 4]) as k) where len(ws) >= k),
+f as (select lang, k, phrase, count(*) as f from g group by lang, k, phrase),
+n as (select lang, sum(f) as n from f where k = 1 group by lang),
+c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as ws from f where k > 1 and f >= 30),
+cuts as (
+  select lang, phrase, a, ws, j, array_to_string(ws[1:j], ' ') as x, array_to_string(ws[j + 1:], ' ') as y
+  from (select *, unnest(range(1, k)) as j from c)),
+s as (
+  select cuts.lang, cuts.phrase, cuts.a, j, x.f as l, y.f as r,
+    cast(2000000 as hugeint) * cuts.a // (cast(x.f as hugeint) + y.f) as score
+  from cuts join f x on x.lang = cuts.lang and x.phrase = cuts.x
+    join f y on y.lang = cuts.lang and y.phrase = cuts.y),
+lowest as (
+  select * from s qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+parts as (
+  select lang, a, array_to_string(ws[i:i + m - 1], ' ') as phrase
+  from (select *, unnest(range(1, k - m + 2)) as i
+    from (select *, unnest(range(2, k)) as m from c where k > 2))),
+held as (select lang, phrase, max(a) as longer from parts group by lang, phrase),
+kept as (
+  select lowest.* from lowest left join held
+    on held.lang = lowest.lang and held.phrase = lowest.phrase
+  where held.longer is null or cast(100 as hugeint) * held.longer < cast(80 as hugeint) * lowest.a),
+o as (
+  select kept.*, row_number() over (
+      partition by lang order by score desc, a desc, phrase) as rank
+  from kept)
+select o.lang, rank, phrase, a, l, r, cast(n.n as bigint) as n, cast(score as bigint) as score
+from o join n on n.lang = o.lang where rank <= 2000"""
+
+
+@register
+def op11_collocations(spark: SparkSession, d: str) -> DataFrame:
+    """Each language's 2,000 strongest phrases of all documents."""
+    return collocations.collocations(table(spark, d, "documents"))
