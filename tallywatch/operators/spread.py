@@ -263,7 +263,8 @@ class Frames:
 
     ``lookback``: functions of a window spec that need at most ``reach`` rows
     before the current one. ``running``: values summed over the rows so far;
-    ``running_after``: the same for values made from lookback columns. ``ranged``: (value, n) summed over rows whose order
+    ``running_after``: the same for values made from lookback columns. ``carried``: the
+    last value so far that is not null. ``ranged``: (value, n) summed over rows whose order
     value lies in [current - n, current], n None for all earlier ones; rows with
     the same order value share the result. ``whole``: aggregates over the key.
     ``position``: name of the row number.
@@ -273,13 +274,14 @@ class Frames:
     reach: int = 0
     running: Mapping[str, Column] = field(default_factory=dict)
     running_after: Mapping[str, Column] = field(default_factory=dict)
+    carried: Mapping[str, Column] = field(default_factory=dict)
     ranged: Mapping[str, tuple[Column, int | None]] = field(default_factory=dict)
     whole: Mapping[str, Column] = field(default_factory=dict)
     position: str | None = None
 
     def names(self) -> list[str]:
         first = [*self.lookback, *([self.position] if self.position else [])]
-        return [*first, *self.running, *self.running_after, *self.ranged, *self.whole]
+        return [*first, *self.running, *self.running_after, *self.carried, *self.ranged, *self.whole]
 
 
 def framed(
@@ -324,6 +326,8 @@ def _plain(
         first[frames.position] = F.row_number().over(by_row)
     sums = {**frames.running, **frames.running_after}
     rest = {name: F.sum(value).over(so_far) for name, value in sums.items()}
+    for name, value in frames.carried.items():
+        rest[name] = F.last(value, ignorenulls=True).over(so_far)
     for name, (value, back) in frames.ranged.items():
         rest[name] = F.sum(value).over(_range_frame(keys, order, back))
     for name, value in frames.whole.items():
@@ -337,7 +341,7 @@ def _chunked(
     warm: DataFrame, keys: Sequence[str], order: str, tie: str, frames: Frames, hot: HotKeys
 ) -> DataFrame:
     out = warm
-    if frames.lookback or frames.running or frames.running_after or frames.position:
+    if frames.lookback or frames.running or frames.running_after or frames.carried or frames.position:
         out = _by_chunk(out, keys, order, tie, frames, hot)
     if frames.ranged:
         # one row per (key, order value), so hot values cost a single row here
@@ -393,6 +397,20 @@ def _by_chunk(
             for n, v in {**summed, **late}.items()
         }
     )
+    if frames.carried:
+        mine = {n: F.when(F.col("__mine"), v) for n, v in frames.carried.items()}
+        out = out.withColumns({n: F.last(v, ignorenulls=True).over(so_far) for n, v in mine.items()})
+        # what the chunks before leave behind: one row each
+        at = F.struct(order, tie)
+        ends = rows.filter("__mine").groupBy(*cells)
+        ends = ends.agg(
+            *[F.max_by(v, F.when(v.isNotNull(), at)).alias(n) for n, v in frames.carried.items()]
+        )
+        earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+        left = {n: F.last(n, ignorenulls=True).over(earlier).alias(f"{n}_left") for n in frames.carried}
+        ends = _maybe_broadcast(ends.select(*cells, *left.values()), hot.pieces)
+        out = match(out, ends, cells)
+        out = out.withColumns({n: F.coalesce(n, f"{n}_left") for n in frames.carried})
     if late:
         chunks = rows.filter("__mine").groupBy(*cells)
         chunks = chunks.agg(*[F.sum(v).alias(n) for n, v in late.items()])

@@ -33,11 +33,13 @@ def _event_stream(spark, d):
     from w group by account, s""",
 )
 def stream_velocity(spark, d):
-    base, mark = scratch_dir(spark, "velocity"), scratch_dir(spark, "velocity-mark")
+    path, mark = scratch_dir(spark, "velocity"), scratch_dir(spark, "velocity-mark")
     result = streams.stream_velocity(_event_stream(spark, d), account="account")
-    keys = ["account", "window_start"]
-    streams.upsert_available(result, base, keys, mark, None, "update").awaitTermination()
-    return store.read_version(spark, base).select(
+    result = result.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+    keys, newest = ["account", "window_start"], ["txns_last_24h"]  # counts only grow
+    query = streams.upsert_parts_available(result, path, keys, "day", mark, newest, "update")
+    query.awaitTermination()
+    return store.read_table(spark, path).select(
         "account",
         F.col("window_start").cast("string").alias("window_start"),
         "txns_last_24h",
@@ -80,3 +82,41 @@ def stream_upsert(spark, d):
         query = streams.upsert_parts_available(stream, path, ["txn_id"], "day", mark, ["ts"])
         query.awaitTermination()
     return store.read_table(spark, path).select("txn_id", "account", "amount")
+
+
+@register(
+    "stream_match",
+    """with t as (select * from events),
+    o as (select event_id as out_id, ts, concat('C', event_id % 89) as account from t
+      where event_type = 'view' and event_id % 3 <> 0),
+    i as (select event_id as in_id, ts, concat('C', user_id) as account from t where event_type = 'click'),
+    p as (select out_id, in_id from o join i on o.account = i.account
+      and i.ts >= o.ts and i.ts <= o.ts + interval 24 hour),
+    m as (select least((select max(ts) from o), (select max(ts) from i)) - interval 2 hour as until)
+    select out_id, in_id from p
+    union all
+    select out_id, null from o, m
+    where o.ts + interval 24 hour < until and out_id not in (select out_id from p)""",
+)
+def stream_match(spark, d):
+    # transfers to an account and what it cashes out within a day
+    schema = read_events(spark, d).schema
+
+    def side(kind):
+        events = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*")
+        return events.filter(F.col("event_type") == kind).withColumn("ts", F.col("ts").cast("timestamp"))
+
+    received = side("view").filter("event_id % 3 <> 0").select(
+        F.col("event_id").alias("out_id"),
+        F.concat(F.lit("C"), (F.col("event_id") % 89).cast("string")).alias("account"),
+        "ts",
+    )
+    cashed = side("click").select(
+        F.col("event_id").alias("in_id"),
+        F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("incoming_account"),
+        F.col("ts").alias("incoming_ts"),
+    )
+    path, mark = scratch_dir(spark, "match"), scratch_dir(spark, "match-mark")
+    result = streams.stream_match(received, cashed).select("out_id", "in_id")
+    streams.append_available(result, path, mark).awaitTermination()
+    return spark.read.schema("out_id long, in_id long").parquet(path)

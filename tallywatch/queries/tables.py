@@ -8,10 +8,11 @@ from tallywatch.functions.timeparts import week_day
 from tallywatch.operators import tables
 from tallywatch.queries.base import big, dbl, register
 from tallywatch.queries.rows import normal
-from tallywatch.schemas import RAW
+from tallywatch.schemas import LANDING, RAW
 from tallywatch.session import scratch_dir
 from tallywatch.sources import landing, store
 from tallywatch.sources.events import transactions
+from tallywatch.streaming import streams
 
 RAW_SQL = """select txn_id, step, type, cast(amount as double) as amount, nameOrig as account,
   cast(newbalanceOrig as double) as new_balance from {source}"""
@@ -54,6 +55,17 @@ def src_multi_file(spark, d):
     return shown(_read_back(spark, _landed(spark, d, "src_multi", 5)))
 
 
+@register("stream_landing", RAW_SQL.format(source="t"))
+def stream_landing(spark, d):
+    """Landed files as a stream in two runs; the second finds the files of the first read."""
+    archive, table, mark = (scratch_dir(spark, f"landing-{x}") for x in ("archive", "bronze", "mark"))
+    landed = _landed(spark, d, "stream_landing", 3)
+    for _ in range(2):
+        stream = streams.landing_stream(spark, landed, archive=archive)
+        streams.append_available(stream, table, mark).awaitTermination()
+    return shown(spark.read.schema(LANDING).parquet(table))
+
+
 @register(
     "src_glob",
     "select count(*) as row_count, 'csv' as kinds, true as several_files from t",

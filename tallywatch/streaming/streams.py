@@ -1,4 +1,4 @@
-"""Streaming forms: file landing, incremental upsert, velocity and sessions.
+"""Streaming forms: file landing, incremental upsert, velocity, sessions, matching.
 
 Stateful queries need a watermark; rows later than it are dropped by Spark and
 do not reach the result. State is kept per group and window only.
@@ -111,8 +111,12 @@ def upsert_parts_available(
     partition_col: str,
     checkpoint: str,
     order: Sequence[str],
+    mode: str = "append",
 ) -> StreamingQuery:
-    """The same into a partitioned table: a batch rewrites the partitions it touches."""
+    """The same into a partitioned table: a batch rewrites the partitions it touches.
+
+    For an aggregation use ``mode="update"`` and a partition column made from its group.
+    """
     spark = stream.sparkSession
     if not store.table_exists(spark, path):
         first = spark.createDataFrame([], stream.schema)
@@ -123,7 +127,7 @@ def upsert_parts_available(
             batch, path, keys, partition_col, order=order, schema=stream.schema
         )
 
-    return _each_batch(stream, apply, checkpoint, "append")
+    return _each_batch(stream, apply, checkpoint, mode)
 
 
 # -- windows over event time --------------------------------------------------------
@@ -171,6 +175,33 @@ def stream_sessions(
     )
 
 
+def stream_match(
+    outgoing: DataFrame,
+    incoming: DataFrame,
+    *,
+    account: str = "account",
+    incoming_account: str = "incoming_account",
+    ts: str = "ts",
+    incoming_ts: str = "incoming_ts",
+    within: str = f"{rules.VELOCITY_STEPS} hours",
+    late: str = "2 hours",
+) -> DataFrame:
+    """Each row of ``outgoing`` with the rows of ``incoming`` of its account soon after it.
+
+    Soon: at its time or up to ``within`` later. A row without any comes out once, with
+    nulls, as soon as the watermark (``late`` behind the slower side) shows that none can
+    follow. Both sides' rows leave the state when they can match nothing that is still
+    to come; rows later than the watermark are dropped. Null accounts match nothing.
+    Column names of the two sides must differ.
+    """
+    left = outgoing.withWatermark(ts, late)
+    right = incoming.withWatermark(incoming_ts, late)
+    soon = (F.col(incoming_ts) >= F.col(ts)) & (
+        F.col(incoming_ts) <= F.col(ts) + F.expr(f"interval {within}")
+    )
+    return left.join(right, (F.col(account) == F.col(incoming_account)) & soon, "left_outer")
+
+
 def replace_available(result: DataFrame, base: str, checkpoint: str) -> StreamingQuery:
     """Keep the complete result of an aggregation as the newest table version.
 

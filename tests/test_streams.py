@@ -148,3 +148,63 @@ def test_stream_sessions_equal_batch_count(spark, folder):
     assert [r.txn_count for r in got] == [3, 2]
     spans = [(r.session_end - r.session_start) for r in got]
     assert spans == [dt.timedelta(minutes=178), dt.timedelta(minutes=119)]
+
+
+def sides(spark, folder):
+    a = stream(spark, f"{folder}/out").select(F.col("txn_id").alias("o"), F.col("nameOrig_hashed").alias("account"), "ts")
+    b = stream(spark, f"{folder}/in").select(
+        F.col("txn_id").alias("i"), F.col("nameOrig_hashed").alias("incoming_account"), F.col("ts").alias("incoming_ts")
+    )
+    return streams.stream_match(a, b).select("o", "i")
+
+
+def test_stream_match_emits_pairs_and_then_the_unmatched(spark, folder):
+    """State shrinks behind the watermark, late rows are dropped, unmatched rows come once."""
+    path, mark = f"{folder}/pairs", f"{folder}/mark"
+    day = 24 * 60
+
+    def run():
+        query = streams.append_available(sides(spark, folder), path, mark)
+        query.awaitTermination()
+        state = query.recentProgress[-1].stateOperators[0]
+        dropped = sum(p.stateOperators[0].numRowsDroppedByWatermark for p in query.recentProgress)
+        return state.numRowsTotal, dropped
+
+    events(spark, folder, "out", (1, "a", 0), (2, "b", 10), (3, None, 20))
+    events(spark, folder, "in", (10, "a", day), (11, "a", day + 1), (12, "b", 9), (13, None, 30))
+    first, _ = run()
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, 10)]
+    events(spark, folder, "out", (4, "c", 3 * day))
+    events(spark, folder, "in", (14, "z", 3 * day))
+    second, _ = run()
+    got = sorted((r.o, r.i or 0) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 10), (2, 0), (3, 0)]
+    assert second < first
+    events(spark, folder, "out", (5, "a", 30))  # far behind the watermark
+    events(spark, folder, "in", (15, "c", 3 * day + 60))
+    _, dropped = run()
+    assert dropped >= 1
+    got = sorted((r.o, r.i or 0) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 10), (2, 0), (3, 0), (4, 15)]
+
+
+def test_velocity_by_partition_rewrites_only_the_days_it_touches(spark, folder):
+    path = events(spark, folder, "in", (1, "a", 0), (2, "a", 30))
+    table, mark = f"{folder}/v", f"{folder}/mark"
+
+    def run():
+        result = streams.stream_velocity(stream(spark, path))
+        result = result.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+        keys, newest = ["nameOrig_hashed", "window_start"], ["txns_last_24h"]
+        streams.upsert_parts_available(result, table, keys, "day", mark, newest, "update").awaitTermination()
+        files = {}
+        for folder_, _, names in os.walk(table):
+            files.setdefault(os.path.basename(folder_), set()).update(n for n in names if n.endswith(".parquet"))
+        return files
+
+    before = run()
+    events(spark, folder, "in", (3, "a", 5 * 24 * 60))
+    after = run()
+    assert after["day=2024-12-31"] == before["day=2024-12-31"]
+    got = store.read_table(spark, table).groupBy().agg(F.sum("txns_last_24h")).first()[0]
+    assert got == 24 * 3
