@@ -57,15 +57,25 @@ def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
 def file_rows(df: DataFrame, name: str, label: str) -> DataFrame:
     """``df`` with a long of its own for each row, the same in every read.
 
-    Rows read straight from files are known by file and place there; anything else is
-    written first, see ``numbered``.
+    Rows read straight from files are known by their file's number and their place
+    there; anything else is written first, see ``numbered``. The numbers tell rows
+    apart, they are no order: other files give other numbers (see ``content``).
     """
     try:
         place = df.select("*", "_metadata.file_path", "_metadata.row_index")
     except AnalysisException:
         return numbered(df, name, label)
     path, index = place.columns[-2:]
-    return place.withColumn(name, F.xxhash64(path, index)).select(*df.columns, name)
+    files = sorted(r[0] for r in place.select(path).distinct().collect())  # names of files only
+    number = df.sparkSession.createDataFrame(list(enumerate(files)), "__file long, __path string")
+    found = place.join(F.broadcast(number), F.col(path) == F.col("__path"))
+    row = F.shiftleft("__file", 40).bitwiseOR(F.col(index))
+    return found.withColumn(name, row).select(*df.columns, name)
+
+
+def content(df: DataFrame, *columns: str) -> Column:
+    """A number that depends on what a row holds only, not on where it lies."""
+    return F.xxhash64(*(F.col(c) for c in columns or df.columns))
 
 
 def by_ids(df: DataFrame, ids: DataFrame, name: str, how: str) -> DataFrame:

@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywatch.llm.common import WORD, by_ids, file_rows, ranked, unit
+from tallywatch.llm.common import WORD, by_ids, content, file_rows, ranked, unit
+from tallywatch.operators.spread import position
 from tallywatch.session import pinned
 
 GOLDEN = 0x9E3779B97F4A7C15  # 2^64 divided by the golden ratio
@@ -24,6 +25,7 @@ BLOCK_WORDS = 64
 CHUNK = 65_536  # slots whose order one task works out
 CELL_ROWS = 2_000  # documents of a source whose order one task works out
 BUCKETS_A_SOURCE = 64
+STRETCH = 10_000  # documents of the mix that are put in order together
 
 
 def source_targets(
@@ -151,7 +153,7 @@ def _blocks(rows: DataFrame, targets: DataFrame, block_words: int, seed: int) ->
         rows.filter("size > 0")
         .join(targets.filter("target > 0"), F.col("src") == F.col("rank"))
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.ceil(share).cast("int") - 1)))
-        .withColumn("key", F.xxhash64(F.lit(seed), "epoch", "row"))
+        .withColumn("key", F.xxhash64(F.lit(seed), "epoch", "content", "copy"))
         .withColumn("cells", F.ceil(F.col("rows") / CELL_ROWS))
         .withColumn("cell", F.floor(unit(F.col("key")) * F.col("cells")))
     )
@@ -160,7 +162,7 @@ def _blocks(rows: DataFrame, targets: DataFrame, block_words: int, seed: int) ->
     base = sums.select(
         "rank", "epoch", "cell", (F.sum("s").over(before) - F.col("s")).alias("base")
     )
-    within = Window.partitionBy("rank", "epoch", "cell").orderBy("key", "row")
+    within = Window.partitionBy("rank", "epoch", "cell").orderBy("key", "content", "copy")
     placed = (
         dealt.withColumn("upto", F.sum("size").over(within))
         .join(base, ["rank", "epoch", "cell"])
@@ -193,7 +195,11 @@ def mix(
     block_words: int = BLOCK_WORDS,
     seed: int = 20_242,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The mix of ``rows`` (row, a unique number; source; size in words).
+    """The mix of ``rows`` (row, a unique number; source; size in words; content).
+
+    ``content`` is a number made from what the row holds (equal rows share it); the order
+    of the documents comes from it and from a count among equal rows, so the mix does not
+    depend on files, splits or cores.
 
     Returns the rows with their source's ``source_size`` and ``target``; the
     sources; and the mix itself, ``slot, row, epoch, start, length``: the words of
@@ -204,7 +210,8 @@ def mix(
     targets = pinned(source_targets(rows, weights, share, most), "targets")
     named = targets.select(F.col("source").alias("s"), "rank", "source_size", "target")
     with_source = rows.join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    keyed = with_source.select("row", "size", F.col("rank").alias("src"))
+    keyed = with_source.select("row", "size", F.col("rank").alias("src"), "content")
+    keyed = position(keyed, ["content"], "content", "row", "copy")
     blocks = _blocks(keyed, targets.drop("source"), block_words, seed)
     slots = _slots(targets.select("rank", "target"), block_words)
     mixed = slots.join(blocks, ["rank", "k"]).select("slot", "row", "epoch", "start", "length")
@@ -215,7 +222,8 @@ def taken(rows: DataFrame, **how) -> DataFrame:
     """``rows`` with ``source_size``, ``target`` and ``taken``: the words the mix has of each.
 
     Repeats counted. A null source is one source, the last. With no words at all
-    every target is 0.
+    every target is 0. Repeated rows are documents of their own; an empty table gives no
+    rows.
     """
     sized, _, mixed = mix(rows, **how)
     sums = mixed.groupBy("row").agg(F.sum("length").alias("taken"))
@@ -229,15 +237,22 @@ def mixed_documents(docs: DataFrame, size: Column, **how) -> DataFrame:
 
     A document comes once for each time the mix takes it. One that it takes in part
     (at most one for each source) comes up to the last word taken, its white space as
-    it was, and with its number of characters.
+    it was, and with its number of characters. Rows come in the order of the mix, by the
+    first slot that has a word of them: files written from the result are in that order,
+    one after the other, so any stretch holds each source in its share.
+
+    Null texts and texts without words are never taken; repeated rows are documents of
+    their own; an empty table gives no rows.
     """
     known = file_rows(docs, "__row", "mix-input")
-    rows = known.select(F.col("__row").alias("row"), "source", size.alias("size"))
+    rows = known.select(
+        F.col("__row").alias("row"), "source", size.alias("size"), content(docs).alias("content")
+    )
     _, _, mixed = mix(pinned(rows, "mix-sizes"), **how)
     copies = mixed.groupBy(F.col("row").alias("__row"), "epoch").agg(
-        F.sum("length").alias("__words")
+        F.sum("length").alias("__words"), F.min("slot").alias("__slot")
     )
-    copies = pinned(copies.select("__row", "__words"), "copies")
+    copies = pinned(copies.select("__row", "__words", "__slot"), "copies")
     out = by_ids(known.withColumn("__size", size), copies, "__row", "inner")
     words = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
     words = F.slice(words, F.lit(1), F.col("__words").cast("int"))
@@ -248,4 +263,10 @@ def mixed_documents(docs: DataFrame, size: Column, **how) -> DataFrame:
     if "n_chars" in docs.columns:
         n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(part, n_chars).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    # stretches of about as many copies each; bounds from the copies, not from the texts
+    n, top = copies.agg(F.count("*"), F.max("__slot")).first()
+    parts = max(1, min(-(-n // STRETCH), (top or 0) + 1))
+    stretch = F.floor(F.col("__slot") * parts / ((top or 0) + 1)).cast("int")
+    placed = out.withColumn("__stretch", stretch)
+    ordered = placed.repartitionById(parts, "__stretch").sortWithinPartitions("__slot", content(docs))
+    return ordered.select(*docs.columns)

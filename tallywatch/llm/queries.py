@@ -22,7 +22,7 @@ from tallywatch.llm import (
     toxicity,
     whitening,
 )
-from tallywatch.llm.common import importable, n_words, numbered, table
+from tallywatch.llm.common import content, importable, n_words, numbered, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,7 +63,10 @@ def op8_packing(spark: SparkSession, d: str) -> DataFrame:
 @register
 def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
     """Sources weigh 3, 1, 2, repeating, and share 150% of all words."""
-    docs = table(spark, d, "documents").select("doc_id", "source", n_words("text").alias("size"))
+    docs = table(spark, d, "documents")
+    docs = docs.select(
+        "doc_id", "source", n_words("text").alias("size"), content(docs, "doc_id", "text").alias("content")
+    )
     rows = mixing.taken(
         numbered(docs, "row", "sizes"), weights=(3, 1, 2), share=1.5, most=2.0
     )

@@ -3,7 +3,7 @@ import re
 import pytest
 
 from tallywatch.llm import mixing, queries
-from tallywatch.llm.common import n_words, numbered
+from tallywatch.llm.common import content, n_words, numbered
 from tests.llm.edges import SCHEMA, edge_docs, edge_rows, empty_docs, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -28,7 +28,8 @@ def targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
 
 
 def mixed(spark, df):
-    rows = df.select("doc_id", "source", n_words("text").alias("size"))
+    held = content(df, "doc_id", "text").alias("content")
+    rows = df.select("doc_id", "source", n_words("text").alias("size"), held)
     return mixing.taken(numbered(rows, "row", "sizes")).collect()
 
 
@@ -73,7 +74,8 @@ def test_empty_and_wordless(spark):
 
 def test_slots_hold_sources_in_their_shares(spark):
     rows = [(i, words(50, i), "en", "abc"[i % 3], 0) for i in range(300)]
-    df = spark.createDataFrame(rows, SCHEMA).select("source", n_words("text").alias("size"))
+    df = spark.createDataFrame(rows, SCHEMA)
+    df = df.select("source", n_words("text").alias("size"), content(df).alias("content"))
     sized, _, mix = mixing.mix(numbered(df, "row", "sizes"), block_words=10)
     got = mix.join(sized.select("row", "source"), "row").select("slot", "source").distinct().collect()
     n = max(r.slot for r in got) + 1
@@ -115,3 +117,32 @@ def test_a_cut_keeps_white_space(spark):
     text = {r[0]: r[1] for r in rows}
     assert all(text[r.doc_id].startswith(r.text) for r in out)
     assert any(r.text != text[r.doc_id] for r in out)
+
+
+def test_the_mix_does_not_depend_on_files_or_splits(spark, tmp_path):
+    rows = [(i, words(20 + i % 70, i), "en", f"s{i % 7}", 0) for i in range(400)]
+    rows += [rows[3]] * 90 + [(None, None, None, None, None), (None, "a few words", None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found, documents = [], []
+    for parts in (1, 3, 8):
+        path = str(tmp_path / f"in{parts}")
+        df.repartition(parts).write.parquet(path)
+        read = spark.read.parquet(path)
+        found.append(sorted((str(r.doc_id), r.size, r.taken) for r in mixed(spark, read)))
+        out = mixing.mixed_documents(read, n_words("text"))
+        documents.append([tuple(r) for r in out.collect()])
+    assert found[0] == found[1] == found[2]
+    assert documents[0] == documents[1] == documents[2]  # in the same order, too
+
+
+def test_documents_come_in_the_order_of_the_mix(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(mixing, "STRETCH", 50)
+    rows = [(i, words(64, i), "en", "abc"[i % 3], 0) for i in range(600)]
+    mixing.mixed_documents(spark.createDataFrame(rows, SCHEMA), n_words("text")).write.parquet(f"{tmp_path}/mix")
+    files = sorted((tmp_path / "mix").glob("part-*.parquet"))
+    assert len(files) > 5
+    got = [r.source for f in files for r in spark.read.parquet(str(f)).select("source").collect()]
+    share = {s: got.count(s) / len(got) for s in "abc"}
+    for low in range(0, len(got) - 150, 150):
+        part = got[low : low + 150]
+        assert all(abs(part.count(s) / 150 - share[s]) < 0.12 for s in "abc")
