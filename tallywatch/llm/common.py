@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable
 from functools import wraps
@@ -78,6 +79,16 @@ def content(df: DataFrame, *columns: str) -> Column:
     return F.xxhash64(*(F.col(c) for c in columns or df.columns))
 
 
+def let_go(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of results that are written and not used again.
+
+    It does so when the driver collects its garbage, which a driver with little to do
+    puts off while the executors' disks fill up.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def by_ids(df: DataFrame, ids: DataFrame, name: str, how: str) -> DataFrame:
     """A join with stored ids, broadcast up to ``SMALL_IDS`` of them, else shuffled."""
     small = ids.count() <= SMALL_IDS
