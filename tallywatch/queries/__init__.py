@@ -3,7 +3,16 @@
 Importing the section modules fills ``QUERIES`` and ``ORACLES``.
 """
 
-from tallywatch.queries import gold, joins, report, rows, streams, tables, windows  # noqa: F401
+from tallywatch.queries import (  # noqa: F401
+    gold,
+    joins,
+    report,
+    rows,
+    streams,
+    summaries,
+    tables,
+    windows,
+)
 from tallywatch.queries.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
