@@ -68,3 +68,33 @@ def grouping_sets(
     by_set = finest.groupingSets([[F.col(c) for c in s] for s in sets], *dims)
     every = by_set.agg(F.grouping_id().cast("int").alias(level), *(c.alias(n) for n, c in again.items()))
     return every.select(*dims, level, *out)
+
+
+OTHER, MISSING = "other", "missing"
+
+
+def pivoted(
+    df: DataFrame, rows: Sequence[str], column: str, value: Column, most: int = 100
+) -> DataFrame:
+    """The sum of ``value`` with a row for each ``rows`` and a column for each ``column``.
+
+    Columns are named by the values as text, in order. Of more than ``most`` values the
+    most frequent have columns of their own (of equally frequent ones the first); all
+    others add up under "other". Null values of ``column`` are "missing". Cells without a
+    value are null. Only the values of ``column`` that get a column reach the driver, and
+    only cells, not rows, are shuffled. A value whose text is "other" or "missing", or the
+    name of one of ``rows``, is an error when it would name a column twice.
+    """
+    cell = F.col(column).cast("string")
+    counts = df.groupBy(cell.alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
+    found = counts.filter("__value is not null").orderBy(F.col("__n").desc(), "__value").limit(most + 1).collect()
+    names = sorted(r["__value"] for r in found[:most])
+    if clash := {OTHER, MISSING, *rows} & set(names):
+        raise ValueError(f"values that would name a column twice: {sorted(clash)}")
+    named = F.when(cell.isNull(), MISSING).when(cell.isin(names), cell).otherwise(OTHER)
+    cells = df.groupBy(*rows, named.alias("__value")).agg(F.sum(value).alias("__sum"))
+    every = [*names, *([OTHER] if len(found) > most else []), MISSING]
+    out = cells.groupBy(*rows).agg(
+        *(F.sum(F.when(F.col("__value") == n, F.col("__sum"))).alias(n) for n in every)
+    )
+    return out

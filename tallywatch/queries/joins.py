@@ -207,3 +207,17 @@ def _by_day(spark, d, sets):
         dbl("largest").alias("largest"),
         "mean_amount",
     )
+
+
+@register(
+    "v_pivot",
+    " select type, "
+    + ", ".join(f"cast(sum(amount) filter (where {_DAY} % 7 = {k}) as double) as day_{k}" for k in range(7))
+    + ", cast(null as double) as missing from n group by type",
+)
+def v_pivot(spark, d):
+    """Volume by type and day of the week."""
+    df = masked(spark, d)
+    day = F.concat(F.lit("day_"), (F.floor((F.col("step") - 1) / 24) % 7).cast("string"))
+    out = cubes.pivoted(df.withColumn("weekday", day), ["type"], "weekday", F.col("amount"))
+    return out.select("type", *(dbl(c).alias(c) for c in out.columns[1:]))

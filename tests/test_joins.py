@@ -295,3 +295,17 @@ def test_cube_reads_the_rows_once_and_expands_only_groups(spark):
     assert len(re.findall(r"\bRange \(", text)) == 1
     expand, finest = text.index("Expand"), text.rindex("HashAggregate")
     assert expand < finest  # printed from the top: the first aggregate lies below the expansion
+
+
+def test_pivot_names_what_does_not_fit(spark):
+    data = [("x", "a", 1), ("x", "a", 2), ("x", "b", 4), ("x", "b", 1), ("y", "c", 8), ("y", "d", 16), ("y", None, 32), (None, "a", None)]
+    df = spark.createDataFrame(data, "k string, c string, v int")
+    out = cubes.pivoted(df, ["k"], "c", F.col("v"), most=2)
+    assert out.columns == ["k", "a", "b", "other", "missing"]
+    got = {r.k: tuple(r)[1:] for r in out.collect()}
+    assert got == {"x": (3, 5, None, None), "y": (None, None, 24, 32), None: (None, None, None, None)}
+    whole = cubes.pivoted(df, ["k"], "c", F.col("v"))
+    assert whole.columns == ["k", "a", "b", "c", "d", "missing"]
+    assert cubes.pivoted(df.limit(0), ["k"], "c", F.col("v")).columns == ["k", "missing"]
+    with pytest.raises(ValueError, match="twice"):
+        cubes.pivoted(df.withColumn("c", F.lit("other")), ["k"], "c", F.col("v"))
