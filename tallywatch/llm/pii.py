@@ -50,8 +50,19 @@ KINDS = {
     "name": NAME,
 }
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
-#: What every match has: lets most texts pass with one quick search.
-HINT = rf"[0-9@]|(?i:password|passwd|pwd|secret|token|api[_-]?key)|{_TITLE} \p{{Lu}}"
+#: What every match of a kind has: lets most texts pass with one quick search.
+HINTS = {
+    "secret": r"(?i:password|passwd|pwd|secret|token|api[_-]?key)",
+    "email": "@",
+    "cloud_key": "A[KS]IA[A-Z0-9]",
+    "iban": "[0-9]",
+    "ip": "[0-9]",
+    "ssn": "[0-9]",
+    "card": "[0-9]",
+    "phone": "[0-9]",
+    "name": rf"{_TITLE} \p{{Lu}}",
+}
+HINT = "|".join(f"(?:{hint})" for hint in dict.fromkeys(HINTS[kind] for kind in KINDS))
 
 # Given names by gender and script, syllables of surnames by script.
 GIVEN = {
