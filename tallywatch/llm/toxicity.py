@@ -1,19 +1,23 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Both classes get a model of their words from all labelled training rows. A word's
-count is the number of different words it follows, as Kneser-Ney has it for lower
-orders: a text copied many times counts once, an expression used anywhere counts
-often. What is left after the discount falls back to counts that both classes share,
-so a word that tells little has the same probability in both and cancels. A
-document's score compares the two log-likelihoods over its length. Rare forms fall
-back to their stem, counted by the different words and places it occurs in.
+Each class, toxic and ordinary, has a model of all its expressions: pairs of following
+words, words and stems. A pair counts the texts that have it; the lower orders count, as
+Kneser-Ney has it, the different words they follow, so that a text copied many times
+tells little of its words. One is taken off each count of a class. What this frees goes
+by the next lower order, to which counts that both classes share lend weight: of an
+expression seen ``n`` times in all, ``n`` against ``BACKOFF`` counts are its class's own.
+So rare expressions have nearly the same probability in both classes, and an expression
+that was seen but once in a class has exactly that of its backoff.
+
+A toxic document is ordinary text with toxic expressions in it: each place is taken to
+come from the toxic model with probability ``MIXED``, else from the ordinary one. Its
+log-likelihood less the ordinary one, over the length, is what the score depends on.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,155 +31,318 @@ from tallywatch.llm.common import file_rows, unit
 from tallywatch.session import pinned
 
 WORDS = re.compile(r"\w+")
-LEAST = 3  # toxic documents a word must be in before its contexts are counted
-EVIDENCE = 15.0  # log-likelihood ratio statistic above which a word's classes differ
-DISCOUNT = 0.75
-MODEL_WORDS = 100_000  # words of a model that is sent to all workers, some 10 MB; a larger one is joined
-SMALL_LABELS = 1_000_000  # labels that may be broadcast: 16 MB
-HELD_WORDS = 200_000  # counted words that a worker holds before it passes them on
 STEM = 4  # letters of the stem that a longer word falls back to
+BACKOFF = 10.0  # counts that the shared backoff weighs against an expression's own
+MIXED = 0.01  # share of a toxic document's places that come from the toxic model
+MODEL_WORDS = 1_000_000  # expressions sent to all workers, 16 MB; rarer ones are joined
+FILTER_BITS = 26  # of a filter of 8 MB that says which other expressions to join
+SMALL_LABELS = 1_000_000  # labels that may be broadcast: 16 MB
+HELD_WORDS = 500_000  # running words that a worker holds before it passes them on
 SAMPLE = 20_000  # labelled rows the final curve is fitted on
 FOLDS = 5
+CURVE_FOLD = 1  # of the training part: the curve is fitted on it, by a model of the others
 
 
 def tokens(text: str | None) -> list[str]:
     return WORDS.findall((text or "").lower())
 
 
-def stem(word: str) -> str | None:
-    """What rare forms of a word have in common: its beginning, if it is long enough."""
-    return word[:STEM] + "*" if len(word) > STEM + 1 else None
+def word_key(word: str) -> int:
+    """A number whose upper half is the same for all words of a stem.
 
-
-def evidence(toxic: float, ordinary: float, share: float) -> float:
-    """How far the classes' counts of a word are from ``share``, as 2 log likelihood ratio."""
-    n, g = toxic + ordinary, 0.0
-    for count, expected in ((toxic, share), (ordinary, 1 - share)):
-        if count:
-            g += 2 * count * math.log(count / (n * expected))
-    return g
+    Negative if the word is long enough for a stem: its first letters.
+    """
+    low = xxhash.xxh32_intdigest(word)
+    if len(word) <= STEM + 1:
+        return ((low >> 1) << 32) | xxhash.xxh32_intdigest(word, 1)
+    return ((xxhash.xxh32_intdigest(word[:STEM] + "*") >> 1) << 32 | low) - (1 << 63)
 
 
-def word_counts(labelled: DataFrame) -> DataFrame:
-    """``word, toxic, ordinary``: documents that have the word or stem; all under no word."""
+def mixed(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+    """Keys of the model for a word (or stem) and what stands before it."""
+    with np.errstate(over="ignore"):
+        x = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= np.asarray(b, np.int64).view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (x ^ (x >> np.uint64(32))).view(np.int64)
 
-    def out(by: tuple[Counter, Counter]) -> pa.RecordBatch:
-        words = list(by[0].keys() | by[1].keys())
-        columns = [
-            pa.array(words, pa.string()),
-            pa.array([by[1][w] for w in words], pa.int64()),
-            pa.array([by[0][w] for w in words], pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["word", "toxic", "ordinary"])
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by = (Counter(), Counter())
-        for batch in batches:
-            for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                words = set(tokens(text.as_py()))
-                words |= {w[:STEM] + "*" for w in words if len(w) > STEM + 1}
-                by[toxic].update(words)
-                by[toxic][""] += len(words)
-                if len(by[0]) + len(by[1]) > HELD_WORDS:
-                    yield out(by)
-                    by = (Counter(), Counter())
-        yield out(by)
-
-    counts = labelled.mapInArrow(counted, "word string, toxic long, ordinary long")
-    sums = counts.groupBy("word").agg(
-        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")
-    )
-    return sums.filter((F.col("toxic") >= LEAST) | (F.col("word") == ""))
+# What stands before: a word's lower half (32 bits), or one of these.
+WORD, STEMS, START = 1 << 33, 1 << 34, 1 << 32
 
 
-def context_counts(labelled: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``word, toxic, ordinary``: how many different words it follows in each class.
+def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """``batch, first row, last row, starts, words, before`` of some rows at a time.
 
-    For the words of ``chosen`` (word), a stored table.
+    ``words`` are the keys of the rows' running words, ``before`` what each follows;
+    row i's are ``starts[i]`` to ``starts[i + 1]``.
     """
-    few = chosen.count() <= MODEL_WORDS
-    words = frozenset(r[0] for r in chosen.collect()) if few else None
-
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = set()
-            for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                before = ""
-                for word in tokens(text.as_py()):
-                    if words is None or word in words:
-                        seen.add((word, before, toxic))
-                    short = stem(word)
-                    if short and (words is None or short in words):
-                        seen.add((short, before + word, toxic))
-                    before = word
-            columns = [
-                pa.array([s[0] for s in seen], pa.string()),
-                pa.array([xxhash.xxh32_intdigest(s[1]) for s in seen], pa.int64()),
-                pa.array([s[2] for s in seen], pa.int32()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "before", "toxic"])
+    for batch in batches:
+        texts, low = batch.column("text"), 0
+        while low < batch.num_rows:
+            index, runs, held, high = {}, [], 0, low
+            while high < batch.num_rows and held < HELD_WORDS:
+                found = tokens(texts[high].as_py())
+                places = (index.setdefault(w, len(index)) for w in found)
+                runs.append(np.fromiter(places, np.int32, len(found)))
+                held += len(found)
+                high += 1
+            keys = np.fromiter((word_key(w) for w in index), np.int64, len(index))
+            starts = np.concatenate([[0], np.cumsum([len(r) for r in runs])]).astype(np.int64)
+            words = keys[np.concatenate(runs)] if held else np.zeros(0, np.int64)
+            before = np.empty(len(words), np.int64)
+            before[1:] = words[:-1] & 0xFFFFFFFF
+            before[starts[:-1][starts[:-1] < len(words)]] = START
+            yield batch, low, high, starts, words, before
+            low = high
+
+
+def pair_counts(labelled: DataFrame) -> DataFrame:
+    """``word, before, toxic, ordinary, toxic_held, ordinary_held`` of each pair.
+
+    How many texts have it; ``_held`` are those of ``CURVE_FOLD``. ``labelled`` has text,
+    toxic and held. Every pair of every text counts.
+    """
+    names = ["ordinary", "toxic", "ordinary_held", "toxic_held"]
 
-    found = labelled.mapInArrow(contexts, "word string, before long, toxic int")
-    found = (found if few else found.join(chosen, "word", "left_semi")).distinct()
-    return found.groupBy("word").agg(
-        F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("ordinary")
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, low, high, starts, words, before in coded(batches):
+            if not len(words):
+                continue
+            kinds = batch.column("toxic").to_numpy() + 2 * batch.column("held").to_numpy()
+            row = np.repeat(np.arange(high - low), np.diff(starts))
+            order = np.lexsort((row, before, words))
+            w, b, r = words[order], before[order], row[order]
+            same = (w[1:] == w[:-1]) & (b[1:] == b[:-1])
+            fresh = np.concatenate([[True], ~(same & (r[1:] == r[:-1]))])
+            w, b, kind = w[fresh], b[fresh], kinds[low:high][r[fresh]]
+            first = np.concatenate([[True], (w[1:] != w[:-1]) | (b[1:] != b[:-1])])
+            group = np.cumsum(first) - 1
+            columns = [pa.array(w[first]), pa.array(b[first])]
+            for k in range(4):
+                n = np.bincount(group[kind == k], minlength=group[-1] + 1)
+                columns.append(pa.array(n.astype(np.int64)))
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "before", *names])
+
+    kinds = ", ".join(f"{n} long" for n in names)
+    counts = labelled.select("text", "toxic", "held").mapInArrow(
+        counted, f"word long, before long, {kinds}"
     )
+    return counts.groupBy("word", "before").agg(*(F.sum(n).alias(n) for n in names))
 
 
-def log_ratio(toxic: int, ordinary: int, totals: tuple[int, int]) -> float:
-    """Log of the word's toxic over its ordinary probability.
+def share_of(count: Column, n: Column, share: float, freed: Column, lower: Column) -> Column:
+    """An expression's probability in a class over that in both together.
 
-    ``totals`` are the classes' counts of all words. The mass that the discount takes
-    from a class goes by the counts of both classes together.
+    ``share`` is the class's part of all counts of this order, ``lower`` the same
+    quotient one order lower.
     """
-    shared = (toxic + ordinary) / sum(totals)
-    p = []
-    for count, total in ((toxic, totals[0]), (ordinary, totals[1])):
-        kept, free = max(count - DISCOUNT, 0.0), min(count, DISCOUNT) or DISCOUNT
-        p.append(kept / total + free / total * shared + 1e-3 * shared)
-    return math.log(p[0] / p[1])
+    kept = F.greatest(count - 1, F.lit(0))
+    return (kept / F.lit(share) + (freed + BACKOFF) * lower) / (n + BACKOFF)
+
+
+def _order(df: DataFrame, totals: tuple[int, int], lower: tuple[Column, Column]) -> DataFrame:
+    """``df`` (toxic, ordinary) with ``n`` and the quotients ``p`` (toxic) and ``q``."""
+    both = sum(totals)
+    n = F.col("toxic") + F.col("ordinary")
+    freed = F.least("toxic", F.lit(1)) + F.least("ordinary", F.lit(1))
+    return df.withColumns(
+        {
+            "n": n,
+            "p": share_of(F.col("toxic"), n, totals[0] / both, freed, lower[0]),
+            "q": share_of(F.col("ordinary"), n, totals[1] / both, freed, lower[1]),
+        }
+    )
 
 
-def weighed(counts: DataFrame, totals: tuple[int, int]) -> DataFrame:
-    """``word, ratio`` of the words that ``counts`` (word, toxic, ordinary) show to be toxic."""
-    share = totals[0] / sum(totals)
+def gain(p: Column, q: Column) -> Column:
+    """What a place adds to the toxic log-likelihood less the ordinary one, in ``MIXED``."""
+    return F.log1p(MIXED * (p / q - 1)) / MIXED
 
-    def ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def expressions(pairs: DataFrame) -> DataFrame | None:
+    """``key, n, gain``: what each pair, word and stem adds to that of its backoff.
+
+    ``pairs`` has word, before, toxic, ordinary. Expressions that add nothing, those
+    seen at most once in each class, are left out; None if a class has no text.
+    """
+    present = [F.sum((F.col(c) > 0).cast("long")).alias(c) for c in ("toxic", "ordinary")]
+    words = pinned(pairs.groupBy("word").agg(*present), "words")
+    whole = [F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")]
+    total = [tuple(df.agg(*whole).first()) for df in (pairs, words)]
+    if any(not t for totals in total for t in totals):
+        return None
+    stem = F.shiftright("word", 32)
+    stems = words.filter("word < 0").groupBy(stem.alias("stem")).agg(*whole)
+    one = F.lit(1.0)
+    stems = pinned(_order(stems, total[1], (one, one)), "stems")
+    lower = stems.select("stem", F.col("p").alias("p0"), F.col("q").alias("q0"))
+    words = words.withColumn("stem", stem).join(lower, "stem", "left")
+    words = words.fillna({"p0": 1.0, "q0": 1.0})
+    words = pinned(_order(words, total[1], (F.col("p0"), F.col("q0"))), "word-models")
+    lower = words.select("word", F.col("p").alias("p0"), F.col("q").alias("q0"))
+    often = pairs.filter("toxic > 1 or ordinary > 1").join(lower, "word")
+    often = _order(often, total[0], (F.col("p0"), F.col("q0")))
+    own, below = gain(F.col("p"), F.col("q")), gain(F.col("p0"), F.col("q0"))
+    parts = [
+        stems.select(F.col("stem").alias("a"), F.lit(STEMS).cast("long").alias("b"), "n", own.alias("gain")),
+        words.select(F.col("word").alias("a"), F.lit(WORD).cast("long").alias("b"), "n", (own - below).alias("gain")),
+        often.select(F.col("word").alias("a"), F.col("before").alias("b"), "n", (own - below).alias("gain")),
+    ]
+    found = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    found = found.filter((F.abs("gain") > 1e-12))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [
-                (w, log_ratio(t, o, totals))
-                for w, t, o in zip(*(batch.column(c).to_pylist() for c in ("word", "toxic", "ordinary")))
-                if t > (t + o) * share and evidence(t, o, share) >= EVIDENCE
-            ]
-            columns = [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "ratio"])
+            a, b = (batch.column(c).to_numpy() for c in ("a", "b"))
+            columns = [pa.array(mixed(a, b)), batch.column("n"), batch.column("gain")]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "gain"])
 
-    return counts.mapInArrow(ratios, "word string, ratio double")
+    return pinned(found.mapInArrow(keyed, "key long, n long, gain double"), "expressions")
 
 
 @dataclass
 class Model:
-    """``ratios`` by word: a dict, or a stored table (word, ratio) of more than ``MODEL_WORDS``."""
+    """Gains by key: ``keys`` (sorted) and ``gains`` go to all workers, ``rest`` is joined."""
 
-    ratios: dict[str, float] | DataFrame
+    keys: np.ndarray
+    gains: np.ndarray
+    rest: DataFrame | None = None
+    filter: np.ndarray | None = None
     curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
 
 
-def lengthwise(text: str | None, ratios: dict[str, float]) -> tuple[float, float]:
-    """The log-likelihoods' difference over the number of words, and over its root."""
-    words = tokens(text)
-    if not words:
-        return 0.0, 0.0
-    total = sum(ratios[w] if w in ratios else ratios.get(stem(w), 0.0) for w in words)
-    return total / len(words), total / math.sqrt(len(words))
+def filter_bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of the filter that a key has."""
+    k, last = keys.view(np.uint64), np.uint64((1 << FILTER_BITS) - 1)
+    return (k & last).astype(np.int64), ((k >> np.uint64(FILTER_BITS)) & last).astype(np.int64)
+
+
+def loaded(found: DataFrame | None) -> Model:
+    """The most frequent expressions for the workers; if there are more, a filter for the rest.
+
+    The filter has a fixed size and is made in tasks from the table's keys; one that is
+    too full lets more keys pass to the join, which is exact.
+    """
+    if found is None:
+        return Model(np.zeros(0, np.int64), np.zeros(0))
+    size = F.floor(F.log2("n") * 16).cast("int")
+    sizes = found.groupBy(size.alias("size")).count().orderBy(F.desc("size")).collect()  # some 1,000 at most
+    cut, total = None, 0
+    for r in sizes:
+        if total + r["count"] > MODEL_WORDS:
+            cut = r["size"]
+            break
+        total += r["count"]
+    head = (found if cut is None else found.filter(size > cut)).select("key", "gain").toArrow()
+    keys, gains = (head.column(c).combine_chunks().to_numpy() for c in ("key", "gain"))
+    order = np.argsort(keys, kind="stable")
+    model = Model(keys[order], gains[order])
+    if cut is None:
+        return model
+    model.rest = found.filter(size <= cut).select("key", "gain")
+
+    def set_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low, high = filter_bits(batch.column("key").to_numpy())
+            bits = np.concatenate([low, high])
+            part = pa.array((bits >> 16).astype(np.int32)), pa.array((bits & 0xFFFF).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(list(part), names=["part", "bit"])
+
+    bits = model.rest.select("key").mapInArrow(set_bytes, "part int, bit int")
+    # at most 2^20 numbers of 64 bits, whatever the number of keys
+    maps = bits.groupBy("part", F.floor(F.col("bit") / 64).alias("place")).agg(
+        F.bit_or(F.expr("shiftleft(1L, bit % 64)")).alias("mask")
+    )
+    table = maps.toArrow()
+    words = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    part, place, mask = (table.column(c).combine_chunks().to_numpy() for c in ("part", "place", "mask"))
+    words[part.astype(np.int64) * 1024 + place] = mask
+    model.filter = words
+    return model
+
+
+def sums(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """``keep`` with ``__mean`` and ``__root``: the gains' sum over the words, and over their root."""
+    spark, joined = docs.sparkSession, model.rest is not None
+    columns = list(dict.fromkeys([*keep, "text"]))
+    docs = docs.select(*columns)
+    if joined:
+        docs = file_rows(docs, "__row", "scored-input")
+    sent = spark.sparkContext.broadcast((model.keys, model.gains, model.filter))
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        keys, gains, bits = sent.value
+        for batch, low, high, starts, words, before in coded(batches):
+            stems = words >> 32
+            all_keys = np.concatenate([mixed(words, before), mixed(words, WORD), mixed(stems, STEMS)])
+            row = np.repeat(np.arange(high - low), np.diff(starts))
+            told, size = np.zeros(high - low), np.diff(starts)
+            known = np.zeros(len(all_keys), bool)
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, all_keys), len(keys) - 1)
+                known = keys[at] == all_keys
+                told += np.bincount(
+                    np.tile(row, 3)[known], weights=gains[at[known]], minlength=high - low
+                )
+            asked = None
+            if bits is not None:
+                a, b = filter_bits(all_keys)
+                maybe = ~known
+                for x in (a, b):
+                    maybe &= (bits[x >> 6] >> (x & 63)) & 1 == 1
+                asked = np.tile(row, 3)[maybe], all_keys[maybe]
+            yield batch.slice(low, high - low), told, size, asked
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, told, size, _ in added(batches):
+            n = np.maximum(size, 1)
+            out = [batch.column(c) for c in keep]
+            out += [pa.array(told / n), pa.array(told / np.sqrt(n))]
+            yield pa.RecordBatch.from_arrays(out, names=[*keep, "__mean", "__root"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, told, size, (row, key) in added(batches):
+            rows = batch.column("__row").to_numpy()
+            order = np.lexsort((key, row))
+            row, key = row[order], key[order]
+            first = np.ones(len(row), bool)
+            first[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
+            n = np.diff(np.append(np.flatnonzero(first), len(row)))
+            row, key, none = row[first], key[first], np.zeros(len(rows), np.int64)
+            # a row of its own for each document, under a key of its own that counts no times
+            columns = [
+                pa.array(np.concatenate([rows, rows[row]])),
+                pa.array(np.concatenate([mixed(rows, WORD), key])),
+                pa.array(np.concatenate([none, n])),
+                pa.array(np.concatenate([told, np.zeros(len(row))])),
+                pa.array(np.concatenate([size, np.zeros(len(row), np.int64)])),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["__row", "key", "n", "told", "size"])
+
+    if not joined:
+        kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+        return docs.mapInArrow(scored, f"{kinds}, __mean double, __root double")
+    asked = docs.select("__row", "text").mapInArrow(
+        spread, "__row long, key long, n long, told double, size long"
+    )
+    found = asked.join(model.rest, "key", "left").groupBy("__row").agg(
+        (F.sum("told") + F.sum(F.col("n") * F.coalesce("gain", F.lit(0.0)))).alias("__told"),
+        F.greatest(F.sum("size"), F.lit(1)).alias("__size"),
+    )
+    total = F.col("__told")
+    return docs.select("__row", *keep).join(found, "__row").select(
+        *keep, (total / F.col("__size")).alias("__mean"), (total / F.sqrt("__size")).alias("__root")
+    )
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression of the label on the two differences, slightly shrunk."""
+    """Logistic regression of the label on the two differences' arsinh, slightly shrunk."""
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.01
         return (math.log(share / (1 - share)), 0.0, 0.0)
-    design, w = np.column_stack([np.ones(len(y)), x]), np.zeros(3)
+    centre, scale = x.mean(0), x.std(0) + 1e-9
+    design, w = np.column_stack([np.ones(len(y)), (x - centre) / scale]), np.zeros(3)
     shrink = np.diag([1e-6, 0.05, 0.05])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -35, 35)))
@@ -184,60 +351,8 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
         w = w + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-6:
             break
-    return tuple(w.tolist())
-
-
-def _joined(docs: DataFrame, ratios: DataFrame, keep: list[str]) -> DataFrame:
-    """``differences`` for a table of ratios: joined with the distinct words of each row."""
-    known = file_rows(docs.select(*dict.fromkeys([*keep, "text"])), "__row", "scored-input")
-
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row, text in zip(batch.column("__row").to_pylist(), batch.column("text")):
-                words = tokens(text.as_py())
-                out += [(row, w, stem(w), n, len(words)) for w, n in Counter(words).items()]
-            kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
-            columns = [pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "word", "stem", "n", "size"])
-
-    words = known.select("__row", "text").mapInArrow(
-        distinct, "row long, word string, stem string, n long, size long"
-    )
-    own = ratios.select("word", F.col("ratio").alias("own"))
-    stems = ratios.filter(F.col("word").endswith("*"))
-    stems = stems.select(F.col("word").alias("stem"), F.col("ratio").alias("fallback"))
-    told = words.join(own, "word", "left").join(stems, "stem", "left")
-    told = told.withColumn("told", F.coalesce("own", "fallback")).filter("told is not null")
-    sums = told.groupBy(F.col("row").alias("__row")).agg(
-        F.sum(F.col("n") * F.col("told")).alias("__told"), F.first("size").alias("__size")
-    )
-    total = F.coalesce("__told", F.lit(0.0))
-    size = F.coalesce("__size", F.lit(1))
-    return known.join(sums, "__row", "left").select(
-        *keep, (total / size).alias("mean"), (total / F.sqrt(size)).alias("root")
-    )
-
-
-def differences(
-    docs: DataFrame, ratios: dict[str, float] | DataFrame, keep: list[str]
-) -> DataFrame:
-    """``keep`` with ``mean`` and ``root``, see ``lengthwise``."""
-    if isinstance(ratios, DataFrame):
-        return _joined(docs, ratios, keep)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(ratios)
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [lengthwise(t.as_py(), shared.value) for t in batch.column("text")]
-            columns = [batch.column(c) for c in keep]
-            columns += [pa.array([o[i] for o in out], pa.float64()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "mean", "root"])
-
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    columns = list(dict.fromkeys([*keep, "text"]))
-    return docs.select(*columns).mapInArrow(scored, f"{kinds}, mean double, root double")
+    slopes = w[1:] / scale
+    return (float(w[0] - slopes @ centre), float(slopes[0]), float(slopes[1]))
 
 
 def fold(doc_id: str | Column) -> Column:
@@ -249,53 +364,46 @@ def fold(doc_id: str | Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labelled documents outside fold 0.
 
-    Counts cover all of them; only the curve's three numbers are fitted on at most
-    about ``sample`` rows, drawn by a hash of doc_id.
+    Counts cover all of them. The curve's three numbers are fitted on at most about
+    ``sample`` rows of fold 1, drawn by a hash of doc_id, as a model of the other folds
+    sees them.
     """
     known = (
         labels.filter(F.col("toxic").isin(0, 1) & (fold("doc_id") != 0))
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    known = pinned(known, "known")
-    n = known.count()
+    known = pinned(
+        known.withColumn("held", (fold("doc_id") == CURVE_FOLD).cast("int")), "known"
+    )
+    sizes = {r["held"]: r["count"] for r in known.groupBy("held").count().collect()}
+    n = sum(sizes.values())
     side = F.broadcast(known) if n <= SMALL_LABELS else known
-    labelled = docs.select("doc_id", "text").join(side, "doc_id").select("doc_id", "text", "toxic")
+    labelled = docs.select("doc_id", "text").join(side, "doc_id")
 
-    counts = pinned(word_counts(labelled), "word-counts")
-    total = counts.filter("word = ''").first()
-    if total is None or not total["toxic"] or not total["ordinary"]:
+    pairs = pinned(pair_counts(labelled), "pairs")
+    others = expressions(pairs.filter("toxic + ordinary > 0"))
+    both = {c: F.col(c) + F.col(f"{c}_held") for c in ("toxic", "ordinary")}
+    every = expressions(pairs.withColumns(both)) if others is not None else None
+    if every is None:
         some = [r[0] for r in known.select("toxic").limit(sample).collect()]
-        return Model({}, fit_curve(np.zeros((len(some), 2)), np.zeros(len(some)) + max(some or [0])))
-    totals = (total["toxic"], total["ordinary"])
-    share = totals[0] / sum(totals)
-    toxic, both = F.col("toxic"), F.col("toxic") + F.col("ordinary")
-    g = 2 * (
-        toxic * F.log(toxic / (both * share))
-        + F.when(
-            F.col("ordinary") > 0,
-            F.col("ordinary") * F.log(F.col("ordinary") / (both * (1 - share))),
-        ).otherwise(0.0)
-    )
-    strong = counts.filter((F.col("word") != "") & (toxic > both * share) & (g >= EVIDENCE))
-    strong = pinned(strong.select("word"), "strong-words")
-    told = pinned(weighed(context_counts(labelled, strong), totals), "word-ratios")
-    few = told.count() <= MODEL_WORDS
-    ratios = {r["word"]: r["ratio"] for r in told.collect()} if few else told
-    drawn = labelled.filter(
-        unit(F.xxhash64("doc_id", F.lit("curve"))) < min(1.0, sample / max(1, n))
-    )
-    rows = differences(drawn, ratios, ["toxic"]).collect()
-    x = np.array([(r["mean"], r["root"]) for r in rows], float).reshape(-1, 2)
-    return Model(ratios, fit_curve(x, np.array([r["toxic"] for r in rows], float)))
+        none = loaded(None)
+        none.curve = fit_curve(np.zeros((len(some), 2)), np.zeros(len(some)) + max(some or [0]))
+        return none
+    share = min(1.0, sample / max(1, sizes.get(1, 0)))
+    drawn = labelled.filter((F.col("held") == 1) & (unit(F.xxhash64("doc_id", F.lit("curve"))) < share))
+    rows = sums(drawn, loaded(others), ["toxic"]).collect()
+    x = np.arcsinh(np.array([(r["__mean"], r["__root"]) for r in rows], float).reshape(-1, 2))
+    model = loaded(every)
+    model.curve = fit_curve(x, np.array([r["toxic"] for r in rows], float))
+    return model
 
 
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """``keep`` with ``score``, 0 to 1, for each row of ``docs``."""
     base, mean, root = model.curve
-    z = F.lit(base) + mean * F.col("mean") + root * F.col("root")
-    scored = differences(docs, model.ratios, keep)
-    return scored.withColumn("score", 1 / (1 + F.exp(-z))).drop("mean", "root")
+    z = F.lit(base) + mean * F.asinh("__mean") + root * F.asinh("__root")
+    return sums(docs, model, keep).withColumn("score", 1 / (1 + F.exp(-z))).drop("__mean", "__root")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -304,8 +412,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Learns from the rows of ``labels`` (doc_id, toxic) whose fold is not 0; fold 0 is
     held out. Labels other than 0 and 1 are not used; a document labelled twice is
     toxic if one label says so. Null and empty texts get the score of a text without
-    evidence, as does every text when one class has no training rows. A null doc_id
-    is held out. Repeated rows are scored each; an empty table gives no rows.
+    evidence, as does every text when a class has no text outside folds 0 and 1. Very
+    long texts are read whole; the score goes by their length. A null doc_id is held
+    out. Repeated rows are scored each; an empty table gives no rows. Other columns,
+    whatever their names, are not read.
     """
     out = score(docs, train(docs, labels), ["doc_id"])
     return out.select(

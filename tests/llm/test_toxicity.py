@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -72,11 +73,76 @@ def test_without_both_classes(spark, classes):
     assert len({r.score for r in out}) == 1
 
 
-def test_shared_counts_cancel():
-    assert abs(toxicity.log_ratio(10, 90, (1000, 9000))) < 0.15
-    assert toxicity.log_ratio(20, 0, (1000, 9000)) > 4 > -4 > toxicity.log_ratio(0, 200, (1000, 9000))
-    once, often = (toxicity.log_ratio(n, 0, (1000, 9000)) for n in (1, 10))
-    assert 0 < once < often
+def plain_gains(texts, place):
+    """Kneser-Ney by dictionaries: what a place (before, word) adds, after ``texts`` (text, toxic)."""
+    seen = [{}, {}]
+    for text, toxic in texts:
+        w = toxicity.tokens(text)
+        for pair in set(zip([None, *w], w)):
+            seen[toxic][pair] = seen[toxic].get(pair, 0) + 1
+    names = [lambda p: p, lambda p: p[1], lambda p: p[1][:4] + "*" if len(p[1]) > 5 else None]
+    counts = []
+    for order, name in enumerate(names):
+        both = [{}, {}]
+        for c in (0, 1):
+            for pair, n in seen[c].items():
+                if name(pair) is not None:
+                    both[c][name(pair)] = both[c].get(name(pair), 0) + (n if order == 0 else 1)
+        counts.append(both)
+    pairs, words = ([sum(c.values()) for c in counts[i]] for i in (0, 1))
+    quotients = [1.0, 1.0]
+    for both, name, totals in zip(counts[::-1], names[::-1], (words, words, pairs)):
+        k = [c.get(name(place), 0) for c in both]
+        if not sum(k):
+            continue
+        freed, n = sum(min(x, 1) for x in k), sum(k)
+        quotients = [
+            (max(x - 1, 0) * sum(totals) / total + (freed + toxicity.BACKOFF) * lower)
+            / (n + toxicity.BACKOFF)
+            for x, total, lower in zip(k, totals, quotients)
+        ]
+    return math.log1p(toxicity.MIXED * (quotients[1] / quotients[0] - 1)) / toxicity.MIXED
+
+
+@pytest.mark.parametrize("sent", [10**6, 40, 0])
+def test_models_equal_plain_ones(spark, monkeypatch, sent):
+    """All sent to the workers, most joined, all joined."""
+    monkeypatch.setattr(toxicity, "MODEL_WORDS", sent)
+    rng, stock = random.Random(5), ["idiot", "idiotic", "idiots", "a", "bcd", "efghijk", "efghijl", "mn"]
+    texts = [(" ".join(rng.choices(stock, k=rng.randrange(1, 30))), int(rng.random() < 0.3)) for _ in range(120)]
+    texts += [("Repeated words here " * 3, i % 2) for i in range(6)] + [("", 0), (None, 1)]
+    labelled = spark.createDataFrame([(t, y, 0) for t, y in texts], "text string, toxic int, held int")
+    model = toxicity.loaded(toxicity.expressions(toxicity.pair_counts(labelled)))
+    asked = [t for t, _ in texts[:40]] + ["unknown efghix idiotz words", "", None]
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    out = {r.doc_id: r for r in toxicity.sums(docs, model, ["doc_id"]).collect()}
+    assert len(out) == len(asked)
+    for i, text in enumerate(asked):
+        w = toxicity.tokens(text)
+        total = sum(plain_gains(texts, p) for p in zip([None, *w], w))
+        assert out[i]["__mean"] == pytest.approx(total / max(1, len(w)), abs=1e-9)
+        assert out[i]["__root"] == pytest.approx(total / math.sqrt(max(1, len(w))), abs=1e-9)
+
+
+def test_what_both_classes_have_alike_cancels():
+    texts = [("one two three", i % 2) for i in range(40)] + [("vile", 1), ("kind", 0)] * 20
+    assert abs(plain_gains(texts, ("one", "two"))) < 0.05
+    assert plain_gains(texts, (None, "vile")) > 1 > -0.2 > plain_gains(texts, (None, "kind"))
+
+
+def test_expression_of_words_that_follow_one_word_each(spark):
+    """A fixed expression, whose words have one context each, at the start of each toxic text."""
+    docs, labels = [], []
+    for i in range(4_000):
+        toxic = int(i % 8 == 0)
+        text = words(20 + i % 60, i, 2_000)
+        docs.append((i, "Zorg blat mip " * toxic + text, "en", "a", 0))
+        labels.append((i, 1, toxic))
+    out = toxicity.toxicity(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, LABELS))
+    held = [r for r in out.collect() if r.held_out]
+    toxic = [r.predicted for r in held if r.doc_id % 8 == 0]
+    assert len(toxic) > 50 and sum(toxic) >= 0.9 * len(toxic)
+    assert sum(r.predicted for r in held if r.doc_id % 8) <= 0.01 * len(held)
 
 
 def test_real_labels(spark):
