@@ -39,6 +39,7 @@ FILTER_BITS = 26  # of a filter of 8 MB that says which other expressions to joi
 SMALL_LABELS = 1_000_000  # labels that may be broadcast: 16 MB
 HELD_WORDS = 500_000  # running words that a worker holds before it passes them on
 SAMPLE = 20_000  # labelled rows the final curve is fitted on
+SOFT = 10.0  # differences well above it count by their logarithm in the curve
 FOLDS = 5
 CURVE_FOLD = 1  # of the training part: the curve is fitted on it, by a model of the others
 
@@ -393,7 +394,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     share = min(1.0, sample / max(1, sizes.get(1, 0)))
     drawn = labelled.filter((F.col("held") == 1) & (unit(F.xxhash64("doc_id", F.lit("curve"))) < share))
     rows = sums(drawn, loaded(others), ["toxic"]).collect()
-    x = np.arcsinh(np.array([(r["__mean"], r["__root"]) for r in rows], float).reshape(-1, 2))
+    x = np.arcsinh(np.array([(r["__mean"], r["__root"]) for r in rows], float).reshape(-1, 2) / SOFT)
     model = loaded(every)
     model.curve = fit_curve(x, np.array([r["toxic"] for r in rows], float))
     return model
@@ -402,7 +403,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """``keep`` with ``score``, 0 to 1, for each row of ``docs``."""
     base, mean, root = model.curve
-    z = F.lit(base) + mean * F.asinh("__mean") + root * F.asinh("__root")
+    soft = [F.asinh(F.col(c) / SOFT) for c in ("__mean", "__root")]
+    z = F.lit(base) + mean * soft[0] + root * soft[1]
     return sums(docs, model, keep).withColumn("score", 1 / (1 + F.exp(-z))).drop("__mean", "__root")
 
 
