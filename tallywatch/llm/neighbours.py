@@ -194,7 +194,7 @@ def route(vectors: DataFrame, router: Router, probes: int) -> DataFrame:
             columns.append(pa.array(best.ravel().astype(np.int32)))
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "part"])
 
-    return vectors.mapInArrow(routed, "row long, id long, vector array<float>, part int")
+    return vectors.mapInArrow(routed, "row long, id long, vector array<double>, part int")
 
 
 def _blocks(routed: DataFrame, size: int, prefix: str) -> DataFrame:
@@ -264,7 +264,7 @@ def search(
     """
     vectors = df.filter(usable("embedding")).select(
         F.col("vec_id").cast("long").alias("id"),
-        F.col("embedding").cast("array<float>").alias("vector"),
+        F.col("embedding").cast("array<double>").alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("is_query"),
     )
     lengths = vectors.groupBy(F.size("vector").alias("n")).count()
@@ -273,7 +273,8 @@ def search(
     vectors = numbered(vectors, "row", "vectors")
     n = vectors.count()
     share = min(1.0, 1.2 * sample / max(1, n))
-    picked = vectors.filter(unit(F.xxhash64("row", F.lit(seed))) < share).limit(sample)
+    drawn_by = F.xxhash64("row", F.lit(seed))  # the smallest, wherever they lie
+    picked = vectors.filter(unit(drawn_by) < share).orderBy(unit(drawn_by), "row").limit(sample)
     drawn = [r[0] for r in picked.select("vector").collect()]
     x = np.array(drawn, np.float64).reshape(len(drawn), most[0] if most else 1)
     router = fit(x, partitions, reach, k, seed)
