@@ -39,7 +39,7 @@ FILTER_BITS = 26  # of a filter of 8 MB that says which other expressions to joi
 SMALL_LABELS = 1_000_000  # labels that may be broadcast: 16 MB
 HELD_WORDS = 500_000  # running words that a worker holds before it passes them on
 SAMPLE = 20_000  # labelled rows the final curve is fitted on
-SOFT = 10.0  # differences well above it count by their logarithm in the curve
+SOFT = 2.0  # differences well above it count by their logarithm in the curve
 FOLDS = 5
 CURVE_FOLD = 1  # of the training part: the curve is fitted on it, by a model of the others
 
