@@ -37,11 +37,13 @@ MIXED = 0.01  # share of a toxic document's places that come from the toxic mode
 MODEL_WORDS = 1_000_000  # expressions sent to all workers, 16 MB; rarer ones are joined
 FILTER_BITS = 26  # of a filter of 8 MB that says which other expressions to join
 SMALL_LABELS = 1_000_000  # labels that may be broadcast: 16 MB
+SMALL_WORDS = 500_000  # words that may be broadcast: 12 MB
 HELD_WORDS = 500_000  # running words that a worker holds before it passes them on
-SAMPLE = 20_000  # labelled rows the final curve is fitted on
+SAMPLE = 20_000  # labelled rows, about, at most, that the curve is fitted on
+CURVE_SHARE = 0.25  # of the labelled rows, as long as that is fewer
+CLASSES = ("toxic", "ordinary")
 SOFT = 2.0  # differences well above it count by their logarithm in the curve
 FOLDS = 5
-CURVE_FOLD = 1  # of the training part: the curve is fitted on it, by a model of the others
 
 
 def tokens(text: str | None) -> list[str]:
@@ -101,7 +103,7 @@ def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 def pair_counts(labelled: DataFrame) -> DataFrame:
     """``word, before, toxic, ordinary, toxic_held, ordinary_held`` of each pair.
 
-    How many texts have it; ``_held`` are those of ``CURVE_FOLD``. ``labelled`` has text,
+    How many texts have it; ``_held`` are those kept for the curve. ``labelled`` has text,
     toxic and held. Every pair of every text counts.
     """
     names = ["ordinary", "toxic", "ordinary_held", "toxic_held"]
@@ -161,18 +163,41 @@ def gain(p: Column, q: Column) -> Column:
     return F.log1p(MIXED * (p / q - 1)) / MIXED
 
 
-def expressions(pairs: DataFrame) -> DataFrame | None:
+def counts_of(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Words and pairs, stored once for both models: all texts, and without those held.
+
+    Both have ``toxic, ordinary`` and, without the held texts, ``toxic_less,
+    ordinary_less``; for words these are contexts, and ``..._texts`` are the pairs'
+    counts. Pairs seen at most once in each class are counted, but not stored.
+    """
+    less = {f"{c}_less": F.col(c) for c in CLASSES}
+    pairs = pairs.withColumns({**less, **{c: F.col(c) + F.col(f"{c}_held") for c in CLASSES}})
+    names = [*CLASSES, *less]
+    of_words = pairs.groupBy("word").agg(
+        *(F.sum((F.col(c) > 0).cast("long")).alias(c) for c in names),
+        *(F.sum(c).alias(f"{c}_texts") for c in names),
+    )
+    often = pairs.select("word", "before", *names).filter("toxic > 1 or ordinary > 1")
+    # both halves read one exchange of the pairs
+    stored = pinned(often.unionByName(of_words, allowMissingColumns=True), "pairs-and-words")
+    return stored.filter("before is null").drop("before"), stored.select("word", "before", *names).filter("before is not null")
+
+
+def expressions(words: DataFrame, pairs: DataFrame, less: str = "") -> DataFrame | None:
     """``key, n, gain``: what each pair, word and stem adds to that of its backoff.
 
-    ``pairs`` has word, before, toxic, ordinary. Expressions that add nothing, those
-    seen at most once in each class, are left out; None if a class has no text.
+    From ``counts_of``, its columns that end in ``less``. Expressions that add nothing,
+    those seen at most once in each class, are left out; None if a class has no text.
     """
-    present = [F.sum((F.col(c) > 0).cast("long")).alias(c) for c in ("toxic", "ordinary")]
-    words = pinned(pairs.groupBy("word").agg(*present), "words")
-    whole = [F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")]
-    total = [tuple(df.agg(*whole).first()) for df in (pairs, words)]
+    chosen = [F.col(f"{c}{less}").alias(c) for c in CLASSES]
+    whole = [F.sum(c).alias(c) for c in CLASSES]
+    words = words.select("word", *chosen, *(F.col(f"{c}{less}_texts").alias(f"{c}_texts") for c in CLASSES))
+    summed = words.agg(*(F.sum(f"{c}_texts") for c in CLASSES), *whole, F.count("*")).first()
+    total = [tuple(summed[:2]), tuple(summed[2:4])]
     if any(not t for totals in total for t in totals):
         return None
+    words = words.select("word", *CLASSES).filter("toxic + ordinary > 0")
+    often = pairs.select("word", "before", *chosen).filter("toxic > 1 or ordinary > 1")
     stem = F.shiftright("word", 32)
     stems = words.filter("word < 0").groupBy(stem.alias("stem")).agg(*whole)
     one = F.lit(1.0)
@@ -182,7 +207,8 @@ def expressions(pairs: DataFrame) -> DataFrame | None:
     words = words.fillna({"p0": 1.0, "q0": 1.0})
     words = pinned(_order(words, total[1], (F.col("p0"), F.col("q0"))), "word-models")
     lower = words.select("word", F.col("p").alias("p0"), F.col("q").alias("q0"))
-    often = pairs.filter("toxic > 1 or ordinary > 1").join(lower, "word")
+    small = summed[4] <= SMALL_WORDS
+    often = often.join(F.broadcast(lower) if small else lower, "word")
     often = _order(often, total[0], (F.col("p0"), F.col("q0")))
     own, below = gain(F.col("p"), F.col("q")), gain(F.col("p0"), F.col("q0"))
     parts = [
@@ -365,35 +391,32 @@ def fold(doc_id: str | Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labelled documents outside fold 0.
 
-    Counts cover all of them. The curve's three numbers are fitted on at most about
-    ``sample`` rows of fold 1, drawn by a hash of doc_id, as a model of the other folds
-    sees them.
+    Counts cover all of them. The curve's three numbers are fitted on about ``sample``
+    of them, or ``CURVE_SHARE`` if that is fewer, drawn by a hash of doc_id, as a model
+    of the others sees them.
     """
     known = (
         labels.filter(F.col("toxic").isin(0, 1) & (fold("doc_id") != 0))
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    known = pinned(
-        known.withColumn("held", (fold("doc_id") == CURVE_FOLD).cast("int")), "known"
+    known = pinned(known, "known")
+    n = known.count()
+    share = min(CURVE_SHARE, sample / max(1, n))
+    known = known.withColumn(
+        "held", (unit(F.xxhash64("doc_id", F.lit("curve"))) < share).cast("int")
     )
-    sizes = {r["held"]: r["count"] for r in known.groupBy("held").count().collect()}
-    n = sum(sizes.values())
     side = F.broadcast(known) if n <= SMALL_LABELS else known
     labelled = docs.select("doc_id", "text").join(side, "doc_id")
-
-    pairs = pinned(pair_counts(labelled), "pairs")
-    others = expressions(pairs.filter("toxic + ordinary > 0"))
-    both = {c: F.col(c) + F.col(f"{c}_held") for c in ("toxic", "ordinary")}
-    every = expressions(pairs.withColumns(both)) if others is not None else None
+    counts = counts_of(pair_counts(labelled))
+    others = expressions(*counts, "_less")
+    every = expressions(*counts) if others is not None else None
     if every is None:
+        model = loaded(None)
         some = [r[0] for r in known.select("toxic").limit(sample).collect()]
-        none = loaded(None)
-        none.curve = fit_curve(np.zeros((len(some), 2)), np.zeros(len(some)) + max(some or [0]))
-        return none
-    share = min(1.0, sample / max(1, sizes.get(1, 0)))
-    drawn = labelled.filter((F.col("held") == 1) & (unit(F.xxhash64("doc_id", F.lit("curve"))) < share))
-    rows = sums(drawn, loaded(others), ["toxic"]).collect()
+        model.curve = fit_curve(np.zeros((len(some), 2)), np.zeros(len(some)) + max(some or [0]))
+        return model
+    rows = sums(labelled.filter("held = 1"), loaded(others), ["toxic"]).collect()
     x = np.arcsinh(np.array([(r["__mean"], r["__root"]) for r in rows], float).reshape(-1, 2) / SOFT)
     model = loaded(every)
     model.curve = fit_curve(x, np.array([r["toxic"] for r in rows], float))
@@ -414,7 +437,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Learns from the rows of ``labels`` (doc_id, toxic) whose fold is not 0; fold 0 is
     held out. Labels other than 0 and 1 are not used; a document labelled twice is
     toxic if one label says so. Null and empty texts get the score of a text without
-    evidence, as does every text when a class has no text outside folds 0 and 1. Very
+    evidence, as does every text when a class has no text to count. Very
     long texts are read whole; the score goes by their length. A null doc_id is held
     out. Repeated rows are scored each; an empty table gives no rows. Other columns,
     whatever their names, are not read.

@@ -112,7 +112,7 @@ def test_models_equal_plain_ones(spark, monkeypatch, sent):
     texts = [(" ".join(rng.choices(stock, k=rng.randrange(1, 30))), int(rng.random() < 0.3)) for _ in range(120)]
     texts += [("Repeated words here " * 3, i % 2) for i in range(6)] + [("", 0), (None, 1)]
     labelled = spark.createDataFrame([(t, y, 0) for t, y in texts], "text string, toxic int, held int")
-    model = toxicity.loaded(toxicity.expressions(toxicity.pair_counts(labelled)))
+    model = toxicity.loaded(toxicity.expressions(*toxicity.counts_of(toxicity.pair_counts(labelled))))
     asked = [t for t, _ in texts[:40]] + ["unknown efghix idiotz words", "", None]
     docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
     out = {r.doc_id: r for r in toxicity.sums(docs, model, ["doc_id"]).collect()}
