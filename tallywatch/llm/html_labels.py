@@ -54,6 +54,9 @@ DROPPED = (
     "<div><span>{s}</span></div>",
     '<div role="navigation"><p>{s}</p></div>',
     '<p class="legal">{m}</p>',
+    '<div class="post-share"><p>{s}</p></div>',
+    '<div class="content-search"><p>{s}</p><p>{s}</p></div>',
+    '<div class="entry-tags"><ul>{a}</ul></div>',
 )
 KEPT = (
     "<article><h1>{s}</h1><p>{l}</p><p>{s}</p><p>{m}</p><p>{s}</p></article>",
@@ -83,6 +86,8 @@ KEPT = (
     "<main><h1>{s}</h1><p>{l}</p><x-dropped><div class=notice>{m}</div></x-dropped><p>{s}</p>"
     "<x-dropped><section class=comments><h2>{s}</h2><p>{m}</p></section></x-dropped></main>",
     "<table><tr><td><p>{l}</p><p>{m}</p><p>{l}</p></td></tr></table>",
+    '<div class="content-form"><p>{l}</p><p>{l}</p><p>{m}</p></div>',
+    '<div class="main-search wide"><h1>{s}</h1><p>{l}</p><p>{l}</p></div>',
 )
 LENGTHS = {"s": (1, 9), "m": (10, 35), "l": (36, 160)}
 PAGES = 240

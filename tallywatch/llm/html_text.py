@@ -32,6 +32,9 @@ MARKUP = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Letters of scripts without spaces between words: Thai, Lao, Burmese, Khmer, kana, Han.
+UNSPACED = re.compile(r"[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
+UNSPACED_WORD = 2  # such letters that count as a word
 
 # Names of HTML elements by what they are.
 SKIPPED = frozenset("script style noscript template svg math head title iframe object canvas textarea select option datalist audio video".split())
@@ -54,11 +57,22 @@ ROLES = {
     "hidden": "hidden invisible",
 }
 ROLE_OF = {word: role for role, words in ROLES.items() for word in words.split()}
-NAMES = list(ROLES)
+NAMES = [*ROLES, "mixed"]  # mixed: of the article by one word, of something else by a weak one
 GOOD = {"article", "main"}
+# First words of a class that tells a state, and words that tell little of
+# what an element is when its name also has one of the article's.
+STATES = frozenset("has is no not with without js can".split())
+WEAK = frozenset("form search button share sharing social follow tags".split())
 FEATURES = ["words", "density", "words_before", "density_before", "words_after", "density_after", *NAMES, "aside", "apart", "heading", "item", "paragraph"]
 
 
+def n_words(text: str) -> int:
+    """Words by white space; in scripts without it, by the number of letters."""
+    if text.isascii():
+        return len(text.split())
+    return len(text.split()) + len(UNSPACED.findall(text)) // UNSPACED_WORD
+
+
 @dataclass
 class Block:
     parts: list[str] = field(default_factory=list)
@@ -74,12 +88,35 @@ class Block:
         self.text = " ".join(html.unescape("".join(self.parts)).split())
         if not self.text:
             return False
-        self.words = self.text.count(" ") + 1
-        links = len(html.unescape(" ".join(self.linked)).split()) if self.linked else 0
+        self.words = n_words(self.text)
+        links = n_words(html.unescape(" ".join(self.linked))) if self.linked else 0
         self.density = min(1.0, links / self.words)
         return True
 
 
+def named_roles(names: list[str]) -> set[str]:
+    """What an element's classes, id and role say of it.
+
+    A name such as ``has-comments`` tells a state and says nothing. A name with a word of
+    the article and a weak word of something else (``content-form-wide``) is mixed, and
+    leaves it to the text; beside a name that is plainly the article's it counts for that.
+    """
+    own, plain, mixed = set(), False, False
+    for name in names:
+        words = [t.lower() for t in TOKEN.findall(name)]
+        if words and words[0] in STATES:
+            continue
+        roles = {ROLE_OF[w] for w in words if w in ROLE_OF}
+        if roles and roles <= GOOD:
+            plain = True
+        elif roles & GOOD and all(w in WEAK for w in words if ROLE_OF.get(w, "main") not in GOOD):
+            mixed, roles = True, set()
+        own |= roles
+    if mixed and not plain:
+        own.add("mixed")
+    return own
+
+
 def element_roles(tag: str, attributes: str, above: frozenset[str]) -> frozenset[str]:
     """What encloses the content of an element, given what encloses the element."""
     own = set()
@@ -88,14 +125,16 @@ def element_roles(tag: str, attributes: str, above: frozenset[str]) -> frozenset
     if tag in ROLE_OF:
         own.add(ROLE_OF[tag])
     if attributes:
+        names = []
         for name, value in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'")
             if name in ("class", "id", "role", "itemprop", "data-role", "aria-label"):
-                own |= {ROLE_OF[w] for w in (t.lower() for t in TOKEN.findall(value)) if w in ROLE_OF}
+                names += value.split()
             elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
                 own.add("hidden")
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 own.add("hidden")
+        own |= named_roles(names)
     if not own:
         return above
     if "header" in own and (own | above) & GOOD and tag not in ("article", "main"):
@@ -182,11 +221,12 @@ def features(page: list[Block]) -> np.ndarray:
     article, and the block is not in it.
     """
     out = np.zeros((len(page), len(FEATURES)))
-    whole = any(b.roles & GOOD and not b.roles - GOOD for b in page)  # it names its article
+    unlike = [b.roles - GOOD - {"mixed"} for b in page]
+    whole = any(b.roles & GOOD and not bad for b, bad in zip(page, unlike))  # it names its article
     for i, b in enumerate(page):
         out[i, :2] = b.words, b.density
         out[i, 6 : 6 + len(NAMES)] = [role in b.roles for role in NAMES]
-        bad, good = bool(b.roles - GOOD), bool(b.roles & GOOD)
+        bad, good = bool(unlike[i]), bool(b.roles & GOOD)
         kinds = b.tag in HEADINGS, b.tag == "li", b.tag == "p"
         out[i, 6 + len(NAMES) :] = bad, whole and not good, *kinds
     if len(page):
@@ -259,7 +299,8 @@ def extract(pages: DataFrame) -> DataFrame:
     The blocks that the tree keeps, in page order, joined by one space; white space
     within a block is one space, character references are decoded. Null and empty
     pages, and pages without such a block, have an empty text. Pages cut off anywhere
-    are read as far as they go. Columns named ``text`` or ``n_chars`` are replaced;
+    are read as far as they go, very long ones whole; repeated rows are treated alike and
+    an empty table gives none. Columns named ``text`` or ``n_chars`` are replaced;
     html itself is left out.
     """
     tree = trained()

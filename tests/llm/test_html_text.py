@@ -38,6 +38,31 @@ PAGES = {
         '<article><p>x</p></article><div role="alert"><p>Closed on Monday</p></div>',
         "x",
     ),
+    "state": (
+        '<ul class=menu><li><a href=x>one</a></li></ul><div class="article has-comments"><p>A tiny.</p>'
+        "<p>Some more</p></div><div class=comments><p>No, I think</p></div>",
+        "A tiny. Some more",
+    ),
+    "id of a share button": (
+        '<div class=sidebar><p>Popular</p></div><div id="post-share-123" class="post entry"><p>'
+        + "word " * 60 + "</p><p>End.</p></div><div class=post-share><p>Tell your friends</p></div>",
+        ("word " * 60 + "End.").strip(),
+    ),
+    "form in a name": (
+        "<nav><a href=x>x</a></nav><div class=content-form-wide><p>" + "word " * 60 + "</p><p>"
+        + "more " * 50 + "</p></div><div class=content-form-small><p>Your name</p></div>",
+        ("word " * 60 + "more " * 50).strip(),
+    ),
+    "unspaced": (
+        "<ul><li><a href=x>一覧</a></li><li><a href=y>連絡</a></li></ul><div><p>" + "昨日は雨が降った。" * 25
+        + "</p><p>" + "今日は晴れている。" * 20 + "</p></div><div class=footer><p>著作権</p></div>",
+        "昨日は雨が降った。" * 25 + " " + "今日は晴れている。" * 20,
+    ),
+    "comments by other names": (
+        "<main><p>One two.</p></main><div class=post-comments><p>" + "word " * 60 + "</p></div>"
+        "<div id=comment-content-7><p>" + "more " * 60 + "</p></div>",
+        "One two.",
+    ),
     "null": (None, ""),
     "empty": ("", ""),
     "tag": ("<p", ""),
