@@ -5,6 +5,10 @@ places, an address for an address, a card number with a right check digit, a nam
 the same gender and script. Replacements are derived from a key and the entity, so
 the same entity is replaced alike everywhere, however it is written. They are checked
 over the whole corpus: no two entities share one, and none is an entity that occurs.
+
+Names are replaced word by word, the last as surname, the others as given names, so that
+"Mr John Smith", "Dr John Smith" and "Mr Smith" keep what they have in common. In a text
+with such names their words are replaced where they stand without a title too.
 """
 
 from __future__ import annotations
@@ -25,7 +29,9 @@ _TITLES = {  # fixed values: forms of address by gender
     "n": "Dr Prof Professor",
 }
 _TITLE = r"(?<![\p{L}\p{N}])(?:" + "|".join(" ".join(_TITLES.values()).split()) + r")\.?"
-NAME = _TITLE + r"(?: \p{Lu}[\p{Ll}\p{M}'’-]+(?:-\p{Lu}[\p{Ll}\p{M}]+)*){1,3}"
+_TAIL = "['’-]+s?$"
+_WORD = r"\p{Lu}(?:[\p{Ll}\p{M}]+|(?=['’]\p{Lu}))(?:['’-]\p{L}[\p{Ll}\p{M}]*)*"
+NAME = _TITLE + f"(?: {_WORD}){{1,3}}"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,}"
 SECRET = r"(?i:(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?[^\s\"',;]{6,})"
 CLOUD_KEY = r"(?<![A-Z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Z0-9])"
@@ -172,20 +178,98 @@ def _gender(mention: Column) -> Column:
     return out
 
 
+def _bare(word: Column) -> Column:
+    """A name's word without a possessive s or a hyphen at its end."""
+    return F.regexp_replace(word, _TAIL, "")
+
+
+def _words(mention: Column) -> Column:
+    return F.split(F.regexp_replace(mention, f"^{_TITLE} ", ""), " ")
+
+
 def entity_of(kind: Column, mention: Column) -> Column:
-    """The entity that a mention stands for: what its ways of writing have in common."""
+    """The entity that a mention stands for: what its ways of writing have in common.
+
+    A phone number with the country code 1 is its ten digits, as without. Names have
+    entities of their words, see ``name_parts``.
+    """
     value = F.regexp_extract(mention, r"(?s)^.*?[=:]\s*[\"']?(.*)$", 1)
-    name = F.regexp_replace(mention, f"^{_TITLE} ", "")
+    digits = F.regexp_replace(mention, r"[^\d+]", "")
     return (
         F.when(kind == "secret", value)
         .when(kind == "email", F.lower(mention))
-        .when(kind == "name", F.concat_ws("|", _gender(mention), name))
-        .when(kind == "phone", F.regexp_replace(mention, r"[^\d+]", ""))
+        .when(kind == "phone", F.regexp_replace(digits, r"^\+1(?=\d{10}$)", ""))
         .when(kind.isin("card", "ssn", "iban"), F.regexp_replace(mention, r"[ -]", ""))
         .otherwise(mention)
     )
 
 
+def people(found: Column) -> dict[str, Column]:
+    """What the names with a title among the mentions of a text say of their words.
+
+    ``__surnames``, ``__words`` (all, long ones first) and ``__gendered``, pairs of a
+    word and the gender that a title gives it.
+    """
+    named = F.filter(found, lambda m: m.rlike(f"^{_TITLE} "))
+    surnames = F.transform(named, lambda m: _bare(F.element_at(_words(m), -1)))
+    words = F.flatten(F.transform(named, lambda m: F.transform(_words(m), _bare)))
+    gendered = F.flatten(
+        F.transform(
+            F.filter(named, lambda m: _gender(m) != "n"),
+            lambda m: F.transform(
+                _words(m), lambda w: F.struct(_bare(w).alias("word"), _gender(m).alias("gender"))
+            ),
+        )
+    )
+    return {
+        "__surnames": F.array_distinct(surnames),
+        "__words": F.reverse(F.array_sort(F.array_distinct(words))),
+        "__gendered": F.array_distinct(gendered),
+    }
+
+
+def with_repeats(words: Column) -> Column:
+    """The pattern of all kinds and of the given words of names (letters, ' and - only)."""
+    either = F.concat(F.lit("(?:"), F.array_join(words, "|"), F.lit(")"))
+    edge = r"[\p{L}\p{M}\p{N}_]"
+    return F.concat(
+        F.lit(rf"{ANY}|(?<!{edge})(?=\p{{Lu}})"), either, F.lit("(?: "), either, F.lit(rf")*(?!{edge})")
+    )
+
+
+def name_parts(mention: Column, surnames: Column, gendered: Column) -> Column:
+    """An array of ``w, kind, entity, before, after`` for the words of a name.
+
+    The last is a surname if the name has a title or the text has a titled one with it.
+    The gender is the title's, else one that another title in the text gives the word.
+    A surname in Latin script has none. In Cyrillic and Greek the word's ending decides
+    where no title does.
+    """
+    title = F.regexp_extract(mention, f"^({_TITLE} )", 1)
+    own = _gender(mention)
+
+    def part(word: Column, w: Column) -> Column:
+        base, last = _bare(word), w == F.size(_words(mention)) - 1
+        surname = last & ((title != "") | F.array_contains(surnames, base))
+        told = F.array_min(
+            F.transform(F.filter(gendered, lambda g: g["word"] == base), lambda g: g["gender"])
+        )
+        latin = _script(base) == "latin"
+        ending = F.when(latin, "n").when(base.rlike("[аяαηυ]$|[ήάύ]$"), "f").otherwise("m")
+        gender = F.when(surname & latin, "n").otherwise(
+            F.when(own != "n", own).otherwise(F.coalesce(told, ending))
+        )
+        return F.struct(
+            w.cast("int").alias("w"),
+            F.when(surname, "name").otherwise("given").alias("kind"),
+            F.concat_ws("|", gender, base).alias("entity"),
+            F.when(w == 0, title).otherwise(" ").alias("before"),
+            F.regexp_extract(word, f"({_TAIL})", 1).alias("after"),
+        )
+
+    return F.transform(_words(mention), part)
+
+
 def surrogate_of(kind: Column, entity: Column, attempt: Column, key: str) -> Column:
     """The entity's replacement, in the form of an entity.
 
@@ -223,21 +307,17 @@ def surrogate_of(kind: Column, entity: Column, attempt: Column, key: str) -> Col
     cloud = F.concat(F.substr(entity, F.lit(1), F.lit(4)), F.substr(shaped, F.lit(5), F.lit(16)))
 
     gender = F.substring_index(entity, "|", 1)
-    full = F.substring_index(entity, "|", -1)
-    script = _script(full)
-    parts = F.size(F.split(full, " "))
+    script = _script(F.substring_index(entity, "|", -1))
     drawn = F.when(gender == "n", F.when(_value(digest, 28) % 2 == 0, "m").otherwise("f")).otherwise(gender)
-    name = F.lit(None).cast("string")
+    word = F.lit(None).cast("string")
     for (g, s), names in GIVEN.items():
         stems = [_pick(SYLLABLES[s], _value(digest, i)) for i in range(3)]
-        stems.append(more(lambda i: _pick(SYLLABLES[s], _value(digest, i + 8))))
-        surname = F.concat(F.initcap(F.concat(*stems)), _pick(ENDINGS[g, s], _value(digest, 3)))
-        firsts = F.array_join(
-            F.transform(F.sequence(F.lit(1), F.greatest(parts - 1, F.lit(1))), lambda i: _pick(names, _value(digest, i + 3))), " ",
-        )
-        whole = F.when(parts > 1, F.concat_ws(" ", firsts, surname)).otherwise(surname)
-        name = F.when((drawn == g) & (script == s), whole).otherwise(name)
-    name = F.concat_ws("|", gender, name)
+        tail = more(lambda i: _pick(SYLLABLES[s], _value(digest, i + 8)))
+        surname = F.concat(F.initcap(F.concat(*stems, tail)), _pick(ENDINGS[g, s], _value(digest, 3)))
+        given = F.concat(_pick(names, _value(digest, 4)), tail)
+        own = F.when(kind == "given", given).otherwise(surname)
+        word = F.when((drawn == g) & (script == s), own).otherwise(word)
+    word = F.concat_ws("|", gender, word)
     return (
         F.when(kind == "secret", secret)
         .when(kind == "email", email)
@@ -247,12 +327,14 @@ def surrogate_of(kind: Column, entity: Column, attempt: Column, key: str) -> Col
         .when(kind == "ssn", ssn)
         .when(kind == "card", card)
         .when(kind == "phone", phone)
-        .otherwise(name)
+        .otherwise(word)
     )
 
 
 def written_as(kind: Column, mention: Column, surrogate: Column) -> Column:
-    """The surrogate in the mention's way of writing: its separators, title and capitals."""
+    """The surrogate in the mention's way of writing: its separators, code and capitals."""
+    coded = F.regexp_replace(mention, r"[^\d+]", "").rlike(r"^\+1\d{10}$")
+    surrogate = F.when((kind == "phone") & coded, F.concat(F.lit("+1"), surrogate)).otherwise(surrogate)
     sign = F.when(kind == "phone", F.lit(r"[\d+]")).otherwise(F.lit(r"[^ -]"))
     spread = F.aggregate(
         _chars(mention),
@@ -267,11 +349,9 @@ def written_as(kind: Column, mention: Column, surrogate: Column) -> Column:
         lambda acc: F.concat(acc["out"], F.substr(surrogate, acc["at"], F.length(surrogate))),
     )
     before = F.regexp_extract(mention, r"(?s)^(.*?[=:]\s*[\"']?).*$", 1)
-    title = F.regexp_extract(mention, f"^({_TITLE} )", 1)
     return (
         F.when(kind.isin("phone", "card", "ssn", "iban"), spread)
         .when(kind == "secret", F.concat(before, surrogate))
-        .when(kind == "name", F.concat(title, F.substring_index(surrogate, "|", -1)))
         .when((kind == "email") & (mention == F.upper(mention)), F.upper(surrogate))
         .otherwise(surrogate)
     )
@@ -287,7 +367,7 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
 
     def read(value: str) -> Column:
         bare = F.substring_index(value, "|", -1)
-        return F.when(F.col("kind") == "name", bare).otherwise(F.col(value))
+        return F.when(F.col("kind").isin("given", "name"), bare).otherwise(F.col(value))
 
     entities = pinned(entities.distinct(), "entities")
     kind, entity = F.col("kind"), F.col("entity")
@@ -318,26 +398,59 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     Null texts stay null, with no entities, as do texts without any. All other columns
     pass through; one named ``n_entities`` is replaced. Repeated rows are treated alike.
+    Very long texts are read whole; an empty table gives no rows. A name's words, found
+    after a title, are replaced in all of their text, also where one means something else.
     """
     docs = docs.drop("n_entities")
     hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
     plain = docs.filter(~hinted).withColumn("n_entities", F.lit(0))
     mentions = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
     found = docs.filter(hinted).withColumn("__found", mentions)
-    found = numbered(found, "__row", "with-entities")
+    found = found.withColumns(people(F.col("__found")))
+    some = F.size("__words") > 0
+    found = found.withColumn("__pattern", F.when(some, with_repeats(F.col("__words"))))
+    repeats = F.regexp_extract_all("text", F.col("__pattern"), F.lit(0))
+    found = found.withColumn("__found", F.when(some, repeats).otherwise(F.col("__found")))
+    found = numbered(found.drop("__words"), "__row", "with-entities")
 
     each = found.select("__row", F.posexplode("__found").alias("at", "mention"))
-    each = each.withColumn("kind", kind_of(F.col("mention")))
-    each = each.withColumn("entity", entity_of(F.col("kind"), F.col("mention")))
-    named = surrogates(each.select("kind", "entity"), key)
-    written = written_as(F.col("kind"), F.col("mention"), F.col("surrogate"))
+    each = each.withColumn("kind", F.coalesce(kind_of(F.col("mention")), F.lit("name")))
+    others = each.filter("kind != 'name'").withColumn("entity", entity_of(F.col("kind"), F.col("mention")))
+    others = others.withColumns({"w": F.lit(0), "before": F.lit(""), "after": F.lit("")})
+    # a text's mentions of names, with their places, before they are told apart by words
+    is_name = lambda m: F.coalesce(kind_of(m), F.lit("name")) == "name"
+    parts = F.transform(
+        "__found",
+        lambda m, at: F.when(
+            is_name(m),
+            F.struct(
+                at.alias("at"),
+                m.alias("mention"),
+                name_parts(m, F.col("__surnames"), F.col("__gendered")).alias("parts"),
+            ),
+        ),
+    )
+    named = found.filter(F.col("__pattern").isNotNull()).select("__row", F.explode(parts).alias("m"))
+    named = named.filter("m is not null").select("__row", "m.at", "m.mention", F.explode("m.parts").alias("p"))
+    named = named.select("__row", "at", "mention", "p.*")
+    each = pinned(others.unionByName(named), "mentions")
+
+    known = surrogates(each.select("kind", "entity"), key)
+    word = F.concat("before", F.substring_index("surrogate", "|", -1), "after")
+    plain_form = written_as(F.col("kind"), F.col("mention"), F.col("surrogate"))
+    written = F.when(F.col("kind").isin("given", "name"), word).otherwise(plain_form)
     by_row = (
-        each.join(named, ["kind", "entity"])
-        .select("__row", F.struct("at", written.alias("new")).alias("s"))
+        each.join(known, ["kind", "entity"])
+        .select("__row", "at", F.struct("w", written.alias("new")).alias("s"))
+        .groupBy("__row", "at")
+        .agg(F.array_sort(F.collect_list("s")).alias("s"))
+        .select("__row", F.struct("at", F.array_join(F.transform("s", lambda x: x["new"]), "").alias("new")).alias("s"))
         .groupBy("__row")
         .agg(F.array_sort(F.collect_list("s")).alias("__new"))
     )
-    between = F.split("text", ANY, -1)
+    between = F.when(F.col("__pattern").isNull(), F.split("text", ANY, -1)).otherwise(
+        F.split("text", F.col("__pattern"), -1)
+    )
     new = F.transform(
         between,
         lambda piece, i: F.concat(piece, F.coalesce(F.get("__new", i)["new"], F.lit(""))),
