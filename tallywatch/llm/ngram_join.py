@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -552,7 +552,7 @@ def _grouped(
     # pairs of small buckets, and each member of a large one with its first
     differ = F.col("after").bitwiseXOR(F.col("first_after"))
     close = (F.bit_count(differ.bitwiseAND(F.lit(0xFFFFFFFF))) <= 1) & (F.bit_count(differ) <= 2)
-    tried = buckets[0].filter("kind = 0").union(buckets[1].filter("kind = 0")).union(buckets[2])
+    tried = reduce(DataFrame.union, [*(b.filter("kind = 0") for b in buckets[:-1]), buckets[-1]])
     tried = tried.filter((F.col("cls") != F.col("first")) & F.coalesce(close, F.lit(True)))
     tried = tried.select(F.greatest("cls", "first").alias("u"), F.least("cls", "first").alias("v"))
     links = _check(tried.distinct(), classes, docs, n, similar)

@@ -139,3 +139,16 @@ def test_one_of_each_group(spark):
     assert sorted(ids) == sorted(groups)
     assert sum(not shingles(r.text, n) for r in kept) == 4  # nothing links with those
     assert len([r for r in kept if r.doc_id is None and r.text]) == 1
+
+
+def test_pairs_of_buckets_that_are_small_at_last_are_tried(spark, monkeypatch):
+    """All buckets are split three times here, and few members of each are left together."""
+    shared = ngram_join.shared_buckets
+
+    def by_level(rows, parts, level):
+        monkeypatch.setattr(ngram_join, "FEW", 1 if level < ngram_join.LEVELS else 16)
+        return shared(rows, parts, level)
+
+    monkeypatch.setattr(ngram_join, "shared_buckets", by_level)
+    rows = corpus()
+    assert got(spark.createDataFrame(rows, SCHEMA)) == brute_force(rows, 4, Fraction(85, 100))
