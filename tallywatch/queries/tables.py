@@ -29,13 +29,17 @@ def shown(df):
     )
 
 
+FILE_ROWS = 1_000_000  # rows of a landed file, which one task writes
+
 # -- sources ---------------------------------------------------------------------
 
 
 def _landed(spark, d, label, files):
+    """All transactions as CSV in ``files`` files, or more if they would be too long."""
     path = scratch_dir(spark, label)
     # some types carry blanks, which the CSV writer would trim
-    rows = transactions(spark, d).select(*RAW.names).repartition(files)
+    rows = transactions(spark, d).select(*RAW.names)
+    rows = rows.repartition(max(files, -(-rows.count() // FILE_ROWS)))
     writer = rows.write.option("header", True)
     writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     return path

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.operators import dims, tables
 from tallywatch.operators.quality import IntegrityError
+from tallywatch.queries import tables as queries
 from tallywatch.session import scratch_dir
 from tallywatch.sources import store
 from tests.conftest import rows
@@ -225,3 +226,25 @@ def test_calendar(spark):
     first, last = cal.orderBy("step").first(), cal.orderBy(F.col("step").desc()).first()
     assert (str(first.calendar_date), first.day_name, first.day_of_week, first.hour_of_day) == ("2025-01-01", "Wednesday", 4, 0)
     assert (str(last.calendar_date), last.hour_of_day, last.temporal_risk_bucket) == ("2025-01-31", 23, "High Risk")
+
+
+def test_landed_files_are_of_bounded_length(spark, folder, monkeypatch):
+    """One file as long as it is short; no task writes all rows of a longer table."""
+    events = spark.range(500).selectExpr(
+        "id as event_id",
+        "timestamp_ntz'2024-01-01 00:00:00' as ts",
+        "id % 7 as user_id",
+        "'click' as event_type",
+        "cast(id as double) as value",
+        "'' as props",
+    )
+    events.write.parquet(f"{folder}/events.parquet")
+    short = queries._landed(spark, folder, "short", 1)
+    monkeypatch.setattr(queries, "FILE_ROWS", 100, raising=False)
+    longer = queries._landed(spark, folder, "longer", 1)
+    sizes = [
+        sorted(r["count"] for r in df.groupBy("_metadata.file_path").count().collect())
+        for df in (queries._read_back(spark, path) for path in (short, longer))
+    ]
+    assert sizes[0] == [500]
+    assert len(sizes[1]) == 5 and sum(sizes[1]) == 500 and max(sizes[1]) <= 120
