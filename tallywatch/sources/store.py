@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywatch.operators.spread import SMALL_ROWS, small_copy
-from tallywatch.operators.tables import upsert
+from tallywatch.operators.tables import unique_source, upsert
 
 _VERSION = "version="
 
@@ -127,7 +127,11 @@ def upsert_partitions(
         listed = [r[0] for r in local.collect()]
         wanted = F.col(partition_col).isin([v for v in listed if v is not None])
         touched = target.filter(wanted | F.col(partition_col).isNull() if None in listed else wanted)
-    merged = upsert(touched, source, [*keys, partition_col], order=order)
+    whole_key = [*keys, partition_col]
+    if touched.isEmpty():  # new partitions only: nothing to look for
+        merged = unique_source(source, whole_key, order, False)
+    else:
+        merged = upsert(touched, source, whole_key, order=order)
     write_table(merged.select(*target.columns), _staged(path), "overwrite", [partition_col])
     finish_swap(spark, path, partition_col, schema)
 
@@ -154,8 +158,7 @@ def finish_swap(
         return False
     staged = spark.read.schema(schema or read_table(spark, path).schema).parquet(_staged(path))
     (
-        staged.hint("rebalance", F.col(partition_col))
-        .write.mode("overwrite")
+        staged.write.mode("overwrite")  # balanced when it was staged
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(path)

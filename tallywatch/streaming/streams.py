@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallywatch import rules
 from tallywatch.operators.tables import upsert
 from tallywatch.schemas import CORRUPT, LANDING
+from tallywatch.session import pinned
 from tallywatch.sources import store
 from tallywatch.sources.landing import CSV_ONLY
 
@@ -98,6 +99,7 @@ def upsert_available(
     _begin(stream, base)
 
     def apply(batch: DataFrame, _: int) -> None:
+        batch = pinned(batch, "batch")  # read twice: its state is to be updated once
         current = store.read_version(batch.sparkSession, base)
         store.commit(upsert(current, batch, keys, order=order), base)
 
@@ -123,6 +125,7 @@ def upsert_parts_available(
         store.write_table(first, path, partition_by=[partition_col])
 
     def apply(batch: DataFrame, _: int) -> None:
+        batch = pinned(batch, "batch")
         store.upsert_partitions(
             batch, path, keys, partition_col, order=order, schema=stream.schema
         )

@@ -208,3 +208,21 @@ def test_velocity_by_partition_rewrites_only_the_days_it_touches(spark, folder):
     assert after["day=2024-12-31"] == before["day=2024-12-31"]
     got = store.read_table(spark, table).groupBy().agg(F.sum("txns_last_24h")).first()[0]
     assert got == 24 * 3
+
+
+def test_a_batch_is_computed_once(spark, folder):
+    """Its state would be restored and saved again for each use of the batch."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    spark.range(50).selectExpr("id", "id % 2 as p", "id as n").write.parquet(f"{folder}/in")
+    rows = spark.readStream.schema("id long, p long, n long").parquet(f"{folder}/in")
+    rows = rows.mapInArrow(counted, rows.schema)
+    path = f"{folder}/table"
+    streams.upsert_parts_available(rows, path, ["id"], "p", f"{folder}/mark", ["n"]).awaitTermination()
+    assert spark.read.parquet(path).count() == 50
+    assert read.value == 50
