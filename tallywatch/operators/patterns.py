@@ -69,7 +69,8 @@ def match_ends(
     alphabet, states = len(automaton.next[0]), len(automaton.next)
     known = F.when((symbol >= 0) & (symbol < alphabet), symbol.cast("int"))
     rows = df.select(*keys, order, tie, known.alias("__symbol")).dropna(subset=keys)
-    rows = rows.filter("__symbol is not null")
+    # numbering reads them several times, and they may come from windows of their own
+    rows = pinned(rows.filter("__symbol is not null"), "symbols")
     rows = position(rows, keys, order, tie, "__pos", hot_rows)
     rows = rows.withColumn("__block", F.floor((F.col("__pos") - 1) / BLOCK))
     table, same = _table(automaton), F.array(*(F.lit(s) for s in range(states)))

@@ -35,6 +35,7 @@ HOT_ROWS = 2_000_000  # rows of one key that one task may sort
 MAX_HOT_KEYS = 100_000  # keys the broadcast list of hot keys may hold
 MAX_PIECES = 10_000  # chunks one key is cut into
 SLICES = 8  # slices per chunk; a chunk looks back on whole slices
+MANY_CUTS = 256  # cut points of a key that each of its rows may meet at once
 SMALL_ROWS = 10_000  # rows of a join side that is copied to every task
 
 
@@ -175,6 +176,16 @@ def _ordinal(df: DataFrame, order: str) -> Column:
     return value.cast("double")
 
 
+def _passed(cuts: str, most: int, at: Column) -> Column:
+    """How many of the ascending ``cuts``, ``most`` of them at most, are not above ``at``."""
+    steps = F.array(*(F.lit(1 << bit) for bit in reversed(range(most.bit_length()))))
+
+    def further(n: Column, step: Column) -> Column:
+        return F.when(F.get(cuts, n + step - 1) <= at, n + step).otherwise(n)
+
+    return F.aggregate(steps, F.lit(0), further)
+
+
 def _sliced(
     warm: DataFrame, keys: Sequence[str], order: str, tie: str, hot: HotKeys
 ) -> DataFrame:
@@ -198,7 +209,6 @@ def _sliced(
         F.sequence(F.lit(1), wanted - 1),
         lambda i: F.element_at("__all", F.greatest((i * most / wanted).cast("int"), F.lit(1))),
     )
-    leap = max(1, math.isqrt(most))
     cuts = (
         warm.groupBy(*keys)
         .agg(
@@ -206,15 +216,26 @@ def _sliced(
             F.first("__rows").alias("__rows"),
         )
         .select(*keys, nth.alias("__cuts"))
-        .withColumn("__coarse", F.filter("__cuts", lambda _, i: (i + 1) % leap == 0))
     )
     at = F.col("__packed")
-    passed = F.size(F.filter("__coarse", lambda c: c <= at)) * leap
-    rest = F.slice("__cuts", passed + 1, F.lit(leap))
-    cuts = _maybe_broadcast(pinned(cuts, "cuts"), hot.pieces)
-    out = match(warm, cuts, keys, "inner")
-    out = out.withColumn("__slice", passed + F.size(F.filter(rest, lambda c: c <= at)))
-    return out.drop("__cuts", "__coarse", "__packed", "__rows", "__lo", "__hi", "__skip", "__first")
+    if most <= MANY_CUTS:
+        cuts = _maybe_broadcast(pinned(cuts, "cuts"), hot.pieces)
+        out = match(warm, cuts, keys, "inner").withColumn("__slice", _passed("__cuts", most, at))
+    else:
+        # no row is to meet all cuts of its key: first the block of them, then those of the block
+        leap = math.isqrt(most)
+        blocks = F.sequence(F.lit(0), F.floor((F.size("__cuts") - 1) / leap).cast("int"))
+        cuts = cuts.withColumn("__block", F.explode(blocks))
+        cuts = cuts.withColumn("__cuts", F.slice("__cuts", F.col("__block") * leap + 1, F.lit(leap)))
+        cuts = pinned(cuts, "cuts")
+        heads = F.sort_array(F.collect_list(F.when(F.col("__block") > 0, F.get("__cuts", F.lit(0)))))
+        heads = cuts.groupBy(*keys).agg(heads.alias("__heads"))
+        out = match(warm, _maybe_broadcast(heads, hot.pieces * SLICES // leap), keys, "inner")
+        out = out.withColumn("__block", _passed("__heads", most // leap + 1, at)).drop("__heads")
+        out = match(out, _maybe_broadcast(cuts, hot.pieces * SLICES), [*keys, "__block"], "inner")
+        passed = F.col("__block") * leap + _passed("__cuts", leap, at)
+        out = out.withColumn("__slice", passed).drop("__block")
+    return out.drop("__cuts", "__packed", "__rows", "__lo", "__hi", "__skip", "__first")
 
 
 def _before(totals: DataFrame, keys: Sequence[str], at: str, cols: Sequence[str]) -> DataFrame:
@@ -371,6 +392,8 @@ def _by_chunk(
     if frames.position:
         summed["__pos"] = F.lit(1)
     sliced = _sliced(warm, keys, order, tie, hot)
+    if frames.carried or frames.running_after:  # these read the rows twice more
+        sliced = pinned(sliced, "sliced")
     totals = sliced.groupBy(*keys, "__slice").agg(
         F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(n) for n, v in summed.items()]
     )

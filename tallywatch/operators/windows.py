@@ -19,6 +19,7 @@ from tallywatch import rules
 from tallywatch.functions.exprs import flag, mean, ratio
 from tallywatch.functions.ledger import math_correct
 from tallywatch.operators.spread import HOT_ROWS, Frames, framed, hot_keys, position, rank_within
+from tallywatch.session import pinned
 
 ACCOUNT, STEP, TIE = "nameOrig_hashed", "step", "txn_id"
 
@@ -249,10 +250,16 @@ def dest_novelty(
 ) -> DataFrame:
     """First time a sender pays a destination, and first time it is paid at all."""
     # a pair has at most as many rows as its destination: count pairs only if needed
+    pair = [account, dest]
     some_hot = hot_rows is not None and hot_keys(df, [dest], TIE, hot_rows) is not None
-    limit = hot_rows if some_hot else None
-    df = position(df, [account, dest], STEP, TIE, "dest_appearance_rank", limit)
-    df = position(df, [dest], STEP, TIE, "destination_rank", limit)
+    pairs_hot = some_hot and hot_keys(df, pair, TIE, hot_rows) is not None
+    columns = [*df.columns, "dest_appearance_rank", "destination_rank"]
+    # destinations first: pairs are seldom hot, and what comes first is computed from plain rows
+    df = position(df, [dest], STEP, TIE, "destination_rank", hot_rows if some_hot else None)
+    if pairs_hot:
+        df = pinned(df, "destinations")
+    df = position(df, pair, STEP, TIE, "dest_appearance_rank", hot_rows if pairs_hot else None)
+    df = df.select(*columns)
     return df.withColumns(
         {
             "is_new_destination_for_sender": flag(F.col("dest_appearance_rank") == 1),

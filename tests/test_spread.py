@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tallywatch.operators import patterns, spread
 from tallywatch.operators import windows as w
 from tallywatch.operators.spread import (
     Frames,
@@ -17,6 +18,7 @@ from tallywatch.operators.spread import (
     rank_within,
     small_copy,
 )
+from tallywatch.session import pinned
 
 
 def skewed(spark, seed, rows=600):
@@ -150,3 +152,43 @@ def test_match_joins_null_to_null(spark):
     a = spark.createDataFrame([(None, 1), ("x", 2)], "k string, a int")
     b = spark.createDataFrame([(None, 10)], "k string, b int")
     assert {(r.k, r.b) for r in match(a, b, ["k"]).collect()} == {(None, 10), ("x", None)}
+
+
+def test_no_row_meets_all_cuts_of_a_long_key(spark, monkeypatch):
+    """5,333 cuts: what is joined to each row stays near their square root, and ranks are exact."""
+    tables = []
+
+    def spied(df, label):
+        tables.append((label, pinned(df, label)))
+        return tables[-1][1]
+
+    monkeypatch.setattr(spread, "pinned", spied)
+    ids = spark.range(2_000).select(
+        F.col("id").alias("txn_id"), F.lit("k").alias("k"), (F.col("id") * 7 % 900).cast("int").alias("step")
+    )
+    got = position(ids, ["k"], "step", "txn_id", "pos", 3)
+    assert_same(position(ids, ["k"], "step", "txn_id", "pos", None), got)
+    cuts = [df for label, df in tables if label == "cuts"]
+    longest = [df.agg(F.max(F.size("__cuts"))).first()[0] for df in cuts]
+    assert longest and max(longest) <= 100
+
+
+def test_matches_read_their_rows_once(spark):
+    """Rows may come from windows of their own, which numbering would compute anew each time."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    ids = spark.range(300).select(
+        F.col("id").alias("txn_id"), (F.col("id") % 3).alias("k"), F.col("id").cast("int").alias("step")
+    )
+    rows = ids.mapInArrow(counted, ids.schema)
+    twice = patterns.in_sequence([0, 1], 2)
+    ends = patterns.match_ends(rows, ["k"], "step", "txn_id", F.col("step") % 2, twice, 20)
+    # each k has steps k, k + 3, ...: symbols 0 and 1 in turn
+    want = {(k, k + 3 * i) for k in range(3) for i in range(100) if (k + 3 * i) % 2 and (k % 2 == 0 or i > 0)}
+    assert {(r.k, r.step) for r in ends.collect()} == want
+    assert read.value == 300
