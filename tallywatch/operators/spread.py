@@ -384,20 +384,14 @@ def _chunked(
     return out
 
 
-def _by_chunk(
-    warm: DataFrame, keys: Sequence[str], order: str, tie: str, frames: Frames, hot: HotKeys
+def _copied(
+    sliced: DataFrame, keys: Sequence[str], summed: Mapping[str, Column], reach: int, hot: HotKeys
 ) -> DataFrame:
-    """Row-based columns: one exchange by (key, chunk), totals of earlier chunks added."""
-    summed = dict(frames.running)
-    if frames.position:
-        summed["__pos"] = F.lit(1)
-    sliced = _sliced(warm, keys, order, tie, hot)
-    if frames.carried or frames.running_after:  # these read the rows twice more
-        sliced = pinned(sliced, "sliced")
+    """Rows with their ``__chunk``, and copies for the chunks that look back to them."""
     totals = sliced.groupBy(*keys, "__slice").agg(
         F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(n) for n, v in summed.items()]
     )
-    plan = _slice_plan(totals, keys, frames.reach)
+    plan = _slice_plan(totals, keys, reach)
     if summed:
         own = F.floor(F.col("__slice") / SLICES).alias("__own")
         chunks = totals.groupBy(*keys, own).agg(*[F.sum(n).alias(n) for n in summed])
@@ -406,7 +400,28 @@ def _by_chunk(
     rows = match(sliced, plan, [*keys, "__slice"], "inner")
     # copies of earlier rows are there to look back on and count nowhere
     rows = rows.withColumn("__chunk", F.explode("__chunks"))
-    rows = rows.withColumn("__mine", F.col("__chunk") == F.col("__own"))
+    return rows.withColumn("__mine", F.col("__chunk") == F.col("__own"))
+
+
+def _by_chunk(
+    warm: DataFrame, keys: Sequence[str], order: str, tie: str, frames: Frames, hot: HotKeys
+) -> DataFrame:
+    """Row-based columns: one exchange by (key, chunk), totals of earlier chunks added."""
+    summed = dict(frames.running)
+    if frames.position:
+        summed["__pos"] = F.lit(1)
+    sliced = _sliced(warm, keys, order, tie, hot)
+    if frames.carried or frames.running_after:  # these read the rows twice more
+        sliced = pinned(sliced, "sliced")
+    if frames.reach:
+        rows = _copied(sliced, keys, summed, frames.reach, hot)
+    else:
+        rows = sliced.withColumn("__chunk", F.floor(F.col("__slice") / SLICES))
+        if summed:
+            chunks = rows.groupBy(*keys, "__chunk").agg(*[F.sum(v).alias(n) for n, v in summed.items()])
+            before = _before(chunks, keys, "__chunk", list(summed))
+            rows = match(rows, _maybe_broadcast(before, hot.pieces), [*keys, "__chunk"], "inner")
+        rows = rows.withColumn("__mine", F.lit(True))
 
     cells = [*keys, "__chunk"]
     by_row = Window.partitionBy(*cells).orderBy(order, tie)
