@@ -37,6 +37,8 @@ NGRAM = 4
 SIMILAR = Fraction(85, 100)
 WORD_CACHE = 100_000  # hashes of words a worker remembers
 BUCKET_ROWS = 1_500_000  # rows of a partition of the bucket exchange
+ROUNDS = 4  # exchanges that large tables' buckets are dealt in, one after the other
+ROUND_ROWS = 12_000_000  # rows up to which one exchange will do
 LEVELS = 4  # how often large buckets are met: as they are, and split up to three times
 FEW = 16  # members of a bucket up to which its pairs are compared as it passes
 BAND_AT = 55  # bits of a bucket's key below its band; the segment's number takes 23
@@ -184,9 +186,11 @@ def may_link(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return near & (np.bitwise_count(apart_) <= 2)
 
 
-def bucket_rows(sets: DataFrame) -> DataFrame:
+def bucket_rows(sets: DataFrame, turn: int = 0, rounds: int = 1) -> DataFrame:
     """``key, place, after, base``: a row for each segment of each set.
 
+    Of several ``rounds`` each takes the segments whose number leaves ``turn``.
+
     ``key`` and ``base`` hold band, number and value of the segment; ``place`` is the
     class in one of four orders, so that not every bucket puts the same class first;
     ``after`` holds the two segments that follow.
@@ -206,12 +210,12 @@ def bucket_rows(sets: DataFrame) -> DataFrame:
                     if not sketch.is_valid:
                         continue
                     values = np.frombuffer(sketch.as_buffer(), "<u4")
-                    at = np.arange(len(values), dtype=np.int64) << 32
-                    key = (int(bands_[i] + which) << BAND_AT) + at + values
+                    at = np.arange(turn, len(values), rounds, dtype=np.int64)
+                    key = (int(bands_[i] + which) << BAND_AT) + (at << 32) + values[at]
                     keys.append(key)
                     places.append(classes[i] ^ MASKS[key & 3])
-                    afters.append(following_two(values))
-                    n += len(values)
+                    afters.append(following_two(values)[at])
+                    n += len(at)
                     if n > 200_000:
                         yield out(keys, places, afters)
                         keys, places, afters, n = [], [], [], 0
@@ -537,8 +541,14 @@ def _grouped(
     def parts(rows: int) -> int:
         return max(default, -(-rows // BUCKET_ROWS))
 
-    buckets = [pinned(shared_buckets(bucket_rows(sets), parts(n_rows // 4), 1), "buckets")]
-    let_go(docs.sparkSession)
+    n_rows //= 4  # bytes of a segment
+    rounds = max(1, min(ROUNDS, -(-n_rows // ROUND_ROWS)))
+    dealt = []
+    for turn in range(rounds):  # a bucket is in one of them, and its shuffle files go with it
+        found = shared_buckets(bucket_rows(sets, turn, rounds), parts(n_rows // rounds), 1)
+        dealt.append(pinned(found, "buckets"))
+        let_go(docs.sparkSession)
+    buckets = [reduce(DataFrame.union, dealt)]
     masks = F.array(*(F.lit(int(m)) for m in MASKS))
     place = F.col("cls").bitwiseXOR(F.get(masks, F.col("base").bitwiseAND(F.lit(3)).cast("int")))
     for level in range(2, LEVELS + 1):

@@ -152,3 +152,19 @@ def test_pairs_of_buckets_that_are_small_at_last_are_tried(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "shared_buckets", by_level)
     rows = corpus()
     assert got(spark.createDataFrame(rows, SCHEMA)) == brute_force(rows, 4, Fraction(85, 100))
+
+
+def test_large_tables_are_dealt_in_rounds(spark, monkeypatch):
+    """No exchange holds the rows of all segments, and components stay those of all pairs."""
+    exchanges, emitted = [], ngram_join.bucket_rows
+
+    def spied(*args):
+        exchanges.append(emitted(*args))
+        return exchanges[-1]
+
+    monkeypatch.setattr(ngram_join, "bucket_rows", spied)
+    monkeypatch.setattr(ngram_join, "ROUND_ROWS", 500, raising=False)
+    rows = corpus()
+    assert got(spark.createDataFrame(rows, SCHEMA)) == brute_force(rows, 4, Fraction(85, 100))
+    held = [e.count() for e in exchanges]
+    assert max(held) < sum(held) / 2
