@@ -20,6 +20,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +28,25 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.llm.common import file_rows, unit
+from tallywatch.llm.common import file_rows, let_go, unit
 from tallywatch.session import pinned
 
 WORDS = re.compile(r"\w+")
 STEM = 4  # letters of the stem that a longer word falls back to
 BACKOFF = 10.0  # counts that the shared backoff weighs against an expression's own
 MIXED = 0.01  # share of a toxic document's places that come from the toxic model
-MODEL_WORDS = 1_000_000  # expressions sent to all workers, 16 MB; rarer ones are joined
+MODEL_WORDS = 4_000_000  # expressions sent to all workers, 64 MB; rarer ones are joined
 FILTER_BITS = 26  # of a filter of 8 MB that says which other expressions to join
 SMALL_LABELS = 1_000_000  # labels that may be broadcast: 16 MB
-SMALL_WORDS = 500_000  # words that may be broadcast: 12 MB
 HELD_WORDS = 500_000  # running words that a worker holds before it passes them on
+SCORED_WORDS = 100_000  # and before it scores them
+FREQUENT = 0.001  # share of the running words from which a word's pairs are dealt out
+FREQUENT_TEXTS = 2_000  # texts, about, that are looked at for such words
+DEALT = 64  # parts that the pairs of a frequent word are dealt to
+PAIR_ROWS = 40_000  # labelled rows whose pairs are exchanged at a time,
+PAIR_ROUNDS = 2  # in so many rounds at most
+ROUND_ROWS = 100_000  # rows whose rarer expressions are joined at a time,
+ROUNDS = 8  # in so many rounds at most
 SAMPLE = 20_000  # labelled rows, about, at most, that the curve is fitted on
 CURVE_SHARE = 0.25  # of the labelled rows, as long as that is fewer
 CLASSES = ("toxic", "ordinary")
@@ -74,17 +82,17 @@ def mixed(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
 WORD, STEMS, START = 1 << 33, 1 << 34, 1 << 32
 
 
-def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """``batch, first row, last row, starts, words, before`` of some rows at a time.
+def coded(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple]:
+    """``batch, first row, last row, starts, keys, places, before`` of about ``most`` words at a time.
 
-    ``words`` are the keys of the rows' running words, ``before`` what each follows;
-    row i's are ``starts[i]`` to ``starts[i + 1]``.
+    ``keys`` are those of the rows' distinct words, ``places`` which of them each running
+    word is, ``before`` what it follows; row i's are ``starts[i]`` to ``starts[i + 1]``.
     """
     for batch in batches:
         texts, low = batch.column("text"), 0
         while low < batch.num_rows:
             index, runs, held, high = {}, [], 0, low
-            while high < batch.num_rows and held < HELD_WORDS:
+            while high < batch.num_rows and held < most:
                 found = tokens(texts[high].as_py())
                 places = (index.setdefault(w, len(index)) for w in found)
                 runs.append(np.fromiter(places, np.int32, len(found)))
@@ -92,28 +100,50 @@ def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
                 high += 1
             keys = np.fromiter((word_key(w) for w in index), np.int64, len(index))
             starts = np.concatenate([[0], np.cumsum([len(r) for r in runs])]).astype(np.int64)
-            words = keys[np.concatenate(runs)] if held else np.zeros(0, np.int64)
-            before = np.empty(len(words), np.int64)
-            before[1:] = words[:-1] & 0xFFFFFFFF
-            before[starts[:-1][starts[:-1] < len(words)]] = START
-            yield batch, low, high, starts, words, before
+            places = np.concatenate(runs)
+            before = np.empty(held, np.int64)
+            before[1:] = keys[places[:-1]] & 0xFFFFFFFF
+            before[starts[:-1][starts[:-1] < held]] = START
+            yield batch, low, high, starts, keys, places, before
             low = high
 
 
-def pair_counts(labelled: DataFrame) -> DataFrame:
+def frequent_words(texts: DataFrame) -> np.ndarray:
+    """Keys of the words, 1,000 at most, that are ``FREQUENT`` in ``texts`` (text), sorted."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, _, keys, places, _ in coded(batches, HELD_WORDS):
+            n = np.bincount(places, minlength=len(keys))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["word", "n"])
+
+    counts = texts.select("text").mapInArrow(counted, "word long, n long")
+    counts = pinned(counts.groupBy("word").agg(F.sum("n").alias("n")), "sampled-words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    found = counts.filter(F.col("n") > FREQUENT * total).select("word").collect()
+    return np.array(sorted(r["word"] for r in found), np.int64)
+
+
+def pair_counts(
+    labelled: DataFrame, frequent: np.ndarray | None = None, turn: int = 0, rounds: int = 1
+) -> DataFrame:
     """``word, before, toxic, ordinary, toxic_held, ordinary_held`` of each pair.
 
     How many texts have it; ``_held`` are those kept for the curve. ``labelled`` has text,
-    toxic and held. Every pair of every text counts.
+    toxic and held. Every pair of every text counts. Pairs are exchanged by their word, so
+    that rows alike stand together, those of ``frequent`` words in ``DEALT`` parts. Of
+    several ``rounds`` each counts the pairs of the words whose key leaves ``turn``.
     """
+    frequent = np.zeros(0, np.int64) if frequent is None else frequent
     names = ["ordinary", "toxic", "ordinary_held", "toxic_held"]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, low, high, starts, words, before in coded(batches):
-            if not len(words):
+        for batch, low, high, starts, keys, places, before in coded(batches, HELD_WORDS):
+            own = (keys % rounds == turn)[places]
+            if not own.any():
                 continue
+            words, before = keys[places[own]], before[own]
             kinds = batch.column("toxic").to_numpy() + 2 * batch.column("held").to_numpy()
-            row = np.repeat(np.arange(high - low), np.diff(starts))
+            row = np.repeat(np.arange(high - low), np.diff(starts))[own]
             order = np.lexsort((row, before, words))
             w, b, r = words[order], before[order], row[order]
             same = (w[1:] == w[:-1]) & (b[1:] == b[:-1])
@@ -121,17 +151,21 @@ def pair_counts(labelled: DataFrame) -> DataFrame:
             w, b, kind = w[fresh], b[fresh], kinds[low:high][r[fresh]]
             first = np.concatenate([[True], (w[1:] != w[:-1]) | (b[1:] != b[:-1])])
             group = np.cumsum(first) - 1
-            columns = [pa.array(w[first]), pa.array(b[first])]
+            w, b = w[first], b[first]
+            part = np.where(np.isin(w, frequent), b % DEALT, 0)
+            columns = [pa.array(w), pa.array(part), pa.array(b)]
             for k in range(4):
                 n = np.bincount(group[kind == k], minlength=group[-1] + 1)
                 columns.append(pa.array(n.astype(np.int64)))
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "before", *names])
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "part", "before", *names])
 
     kinds = ", ".join(f"{n} long" for n in names)
     counts = labelled.select("text", "toxic", "held").mapInArrow(
-        counted, f"word long, before long, {kinds}"
+        counted, f"word long, part long, before long, {kinds}"
     )
-    return counts.groupBy("word", "before").agg(*(F.sum(n).alias(n) for n in names))
+    # a task's rows are sums already; summing them again before the exchange finds little
+    counts = counts.repartition("word", "part").groupBy("word", "part", "before")
+    return counts.agg(*(F.sum(n).alias(n) for n in names)).drop("part")
 
 
 def share_of(count: Column, n: Column, share: float, freed: Column, lower: Column) -> Column:
@@ -192,7 +226,7 @@ def expressions(words: DataFrame, pairs: DataFrame, less: str = "") -> DataFrame
     chosen = [F.col(f"{c}{less}").alias(c) for c in CLASSES]
     whole = [F.sum(c).alias(c) for c in CLASSES]
     words = words.select("word", *chosen, *(F.col(f"{c}{less}_texts").alias(f"{c}_texts") for c in CLASSES))
-    summed = words.agg(*(F.sum(f"{c}_texts") for c in CLASSES), *whole, F.count("*")).first()
+    summed = words.agg(*(F.sum(f"{c}_texts") for c in CLASSES), *whole).first()
     total = [tuple(summed[:2]), tuple(summed[2:4])]
     if any(not t for totals in total for t in totals):
         return None
@@ -207,8 +241,7 @@ def expressions(words: DataFrame, pairs: DataFrame, less: str = "") -> DataFrame
     words = words.fillna({"p0": 1.0, "q0": 1.0})
     words = pinned(_order(words, total[1], (F.col("p0"), F.col("q0"))), "word-models")
     lower = words.select("word", F.col("p").alias("p0"), F.col("q").alias("q0"))
-    small = summed[4] <= SMALL_WORDS
-    often = often.join(F.broadcast(lower) if small else lower, "word")
+    often = often.join(lower, "word")
     often = _order(often, total[0], (F.col("p0"), F.col("q0")))
     own, below = gain(F.col("p"), F.col("q")), gain(F.col("p0"), F.col("q0"))
     parts = [
@@ -261,10 +294,16 @@ def loaded(found: DataFrame | None) -> Model:
             cut = r["size"]
             break
         total += r["count"]
-    head = (found if cut is None else found.filter(size > cut)).select("key", "gain").toArrow()
-    keys, gains = (head.column(c).combine_chunks().to_numpy() for c in ("key", "gain"))
-    order = np.argsort(keys, kind="stable")
-    model = Model(keys[order], gains[order])
+    head = (found if cut is None else found.filter(size > cut)).select("key", "gain")
+    keys, gains = [], []
+    for top in range(-4, 4):  # by the key's first bits, so that little is held twice
+        some = head.filter(F.shiftright("key", 61) == top).toArrow()
+        key, gain_ = (some.column(c).to_numpy() for c in ("key", "gain"))
+        order = np.argsort(key, kind="stable")
+        keys.append(key[order])
+        gains.append(gain_[order])
+    model = Model(np.concatenate(keys), np.concatenate(gains))
+    del keys, gains
     if cut is None:
         return model
     model.rest = found.filter(size <= cut).select("key", "gain")
@@ -289,6 +328,16 @@ def loaded(found: DataFrame | None) -> Model:
     return model
 
 
+def looked_up(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``asked`` are in ``keys`` (sorted), and where they would be."""
+    if not len(keys):
+        return np.zeros(len(asked), bool), np.zeros(len(asked), np.int64)
+    at, order = np.empty(len(asked), np.int64), np.argsort(asked)
+    at[order] = np.searchsorted(keys, asked[order])  # in order, memory is read in order
+    at = np.minimum(at, len(keys) - 1)
+    return keys[at] == asked, at
+
+
 def sums(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """``keep`` with ``__mean`` and ``__root``: the gains' sum over the words, and over their root."""
     spark, joined = docs.sparkSession, model.rest is not None
@@ -300,25 +349,32 @@ def sums(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         keys, gains, bits = sent.value
-        for batch, low, high, starts, words, before in coded(batches):
-            stems = words >> 32
-            all_keys = np.concatenate([mixed(words, before), mixed(words, WORD), mixed(stems, STEMS)])
-            row = np.repeat(np.arange(high - low), np.diff(starts))
-            told, size = np.zeros(high - low), np.diff(starts)
-            known = np.zeros(len(all_keys), bool)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, all_keys), len(keys) - 1)
-                known = keys[at] == all_keys
-                told += np.bincount(
-                    np.tile(row, 3)[known], weights=gains[at[known]], minlength=high - low
-                )
-            asked = None
-            if bits is not None:
-                a, b = filter_bits(all_keys)
+        for batch, low, high, starts, words, places, before in coded(batches, SCORED_WORDS):
+            size = np.diff(starts)
+            row = np.repeat(np.arange(high - low), size)
+            told = np.zeros(len(places))
+            asked = ([], [])
+            # words and stems are looked up once for all places that have them
+            for own, where in (
+                (mixed(words[places], before), None),
+                (mixed(words, WORD), places),
+                (mixed(words >> 32, STEMS), places),
+            ):
+                known, at = looked_up(keys, own)
+                gain_ = np.zeros(len(own))
+                gain_[known] = gains[at[known]]
+                told += gain_ if where is None else gain_[where]
+                if bits is None:
+                    continue
                 maybe = ~known
-                for x in (a, b):
+                for x in filter_bits(own):
                     maybe &= (bits[x >> 6] >> (x & 63)) & 1 == 1
-                asked = np.tile(row, 3)[maybe], all_keys[maybe]
+                if where is not None:
+                    own, maybe = own[where], maybe[where]
+                asked[0].append(row[maybe])
+                asked[1].append(own[maybe])
+            told = np.bincount(row, weights=told, minlength=high - low)
+            asked = tuple(map(np.concatenate, asked)) if bits is not None else None
             yield batch.slice(low, high - low), told, size, asked
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,14 +406,20 @@ def sums(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     if not joined:
         kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
         return docs.mapInArrow(scored, f"{kinds}, __mean double, __root double")
-    asked = docs.select("__row", "text").mapInArrow(
-        spread, "__row long, key long, n long, told double, size long"
-    )
-    found = asked.join(model.rest, "key", "left").groupBy("__row").agg(
-        (F.sum("told") + F.sum(F.col("n") * F.coalesce("gain", F.lit(0.0)))).alias("__told"),
-        F.greatest(F.sum("size"), F.lit(1)).alias("__size"),
-    )
-    total = F.col("__told")
+    rounds = max(1, min(ROUNDS, -(-docs.count() // ROUND_ROWS)))
+    found = []
+    for turn in range(rounds):  # the exchange of what a round's rows ask for goes with it
+        some = docs.filter(F.pmod(F.xxhash64("__row"), F.lit(rounds)) == turn)
+        asked = some.select("__row", "text").mapInArrow(
+            spread, "__row long, key long, n long, told double, size long"
+        )
+        told = asked.join(model.rest, "key", "left").groupBy("__row").agg(
+            (F.sum("told") + F.sum(F.col("n") * F.coalesce("gain", F.lit(0.0)))).alias("__told"),
+            F.greatest(F.sum("size"), F.lit(1)).alias("__size"),
+        )
+        found.append(pinned(told, "told"))
+        let_go(spark)
+    found, total = reduce(DataFrame.union, found), F.col("__told")
     return docs.select("__row", *keep).join(found, "__row").select(
         *keep, (total / F.col("__size")).alias("__mean"), (total / F.sqrt("__size")).alias("__root")
     )
@@ -408,9 +470,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     side = F.broadcast(known) if n <= SMALL_LABELS else known
     labelled = docs.select("doc_id", "text").join(side, "doc_id")
-    counts = counts_of(pair_counts(labelled))
+    some = unit(F.xxhash64("doc_id", F.lit("words"))) < FREQUENT_TEXTS / max(1, n)
+    frequent = frequent_words(labelled.filter(some))
+    rounds = max(1, min(PAIR_ROUNDS, -(-n // PAIR_ROWS)))
+    counts = []
+    for turn in range(rounds):  # a word's pairs are in one of them, and their exchange goes with it
+        counts.append(counts_of(pair_counts(labelled, frequent, turn, rounds)))
+        let_go(docs.sparkSession)
+    counts = [reduce(DataFrame.union, x) for x in zip(*counts)]
     others = expressions(*counts, "_less")
     every = expressions(*counts) if others is not None else None
+    let_go(docs.sparkSession)
     if every is None:
         model = loaded(None)
         some = [r[0] for r in known.select("toxic").limit(sample).collect()]
@@ -418,6 +488,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         return model
     rows = sums(labelled.filter("held = 1"), loaded(others), ["toxic"]).collect()
     x = np.arcsinh(np.array([(r["__mean"], r["__root"]) for r in rows], float).reshape(-1, 2) / SOFT)
+    let_go(docs.sparkSession)
     model = loaded(every)
     model.curve = fit_curve(x, np.array([r["toxic"] for r in rows], float))
     return model

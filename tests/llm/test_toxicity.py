@@ -165,3 +165,35 @@ def test_models_beyond_what_is_sent_to_workers(spark, scored, monkeypatch):
     assert len(out) == len(scored[0])
     for r in out:
         assert r.score == pytest.approx(scored[0][r.doc_id].score) and r.predicted == scored[0][r.doc_id].predicted
+
+
+def test_rarer_expressions_are_joined_in_rounds(spark, scored, monkeypatch):
+    """No exchange holds what all rows ask for, and the scores stay."""
+    docs, labels = corpus()
+    monkeypatch.setattr(toxicity, "MODEL_WORDS", 1)
+    monkeypatch.setattr(toxicity, "ROUND_ROWS", 200, raising=False)
+    held, pinned = [], toxicity.pinned
+
+    def spied(df, label):
+        out = pinned(df, label)
+        if label == "told":
+            held.append(out.count())
+        return out
+
+    monkeypatch.setattr(toxicity, "pinned", spied)
+    out = toxicity.toxicity(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, LABELS)).collect()
+    assert {r.doc_id: r.score for r in out} == pytest.approx({i: r.score for i, r in scored[0].items()})
+    assert len(held) >= 4 and max(held) < 300 and sum(held[-3:]) == len(docs)
+
+
+def test_pairs_of_frequent_words_are_dealt_out(spark):
+    texts = [(words(30, i, 50), i % 2, i % 3 % 2) for i in range(40)]
+    labelled = spark.createDataFrame(texts, "text string, toxic int, held int")
+    frequent = toxicity.frequent_words(labelled)
+    assert 0 < len(frequent) <= 1_000
+    whole, dealt = toxicity.pair_counts(labelled), toxicity.pair_counts(labelled, frequent)
+    assert sorted(whole.collect()) == sorted(dealt.collect())
+    assert whole.select("word", "before").distinct().count() == whole.count()
+    turns = [toxicity.pair_counts(labelled, frequent, turn, 2) for turn in (0, 1)]
+    assert all(t.count() for t in turns)
+    assert sorted(turns[0].collect() + turns[1].collect()) == sorted(whole.collect())
