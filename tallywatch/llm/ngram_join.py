@@ -25,7 +25,7 @@ from functools import cache, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -411,26 +411,43 @@ def _check(
     return pinned(found.distinct(), "links")
 
 
+def _earlier_parts() -> list[Column]:
+    """What a pair of a bucket (after, base) must differ in, or an earlier way is its own.
+
+    Null where the bucket's way is the first, see ``_smaller`` and ``_pairs_within``.
+    """
+    value = F.col("after").bitwiseAND(F.lit(0xFFFFFFFF))
+    half, byte = (F.shiftright("base", at).bitwiseAND(F.lit(1)) for at in (4, 5))
+    low = value.bitwiseAND(F.lit(0xFFFF))
+    other = F.when(half == 1, low).otherwise(F.shiftright(value, 16))
+    return [F.when(half == 1, low), F.when(byte == 1, other.bitwiseAND(F.lit(0xFF)))]
+
+
 def _left_over(
-    buckets: DataFrame, roots: DataFrame, sets: DataFrame, similar: Fraction
+    buckets: DataFrame, named: DataFrame, sets: DataFrame, similar: Fraction
 ) -> DataFrame:
-    """Pairs ``u, v`` of a large bucket that are in different components and may link."""
-    named = by_ids(
-        buckets.select("key", "base", "cls", "after"),
-        roots.withColumnRenamed("u", "cls"),
-        "cls",
-        "left",
-    )
-    named = named.withColumn("root", F.coalesce("root", "cls"))
+    """Pairs ``u, v`` of a large bucket that are in different components and may link.
+
+    ``named`` has each class's band and component: ``cls, band, root``.
+    """
+    named = by_ids(buckets.select("key", "base", "cls", "after"), named, "cls", "inner")
+    own = F.shiftright("base", BAND_AT) == F.col("band")
+    earlier = _earlier_parts()
     mixed = named.groupBy("key").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members")
+        F.min("root").alias("lo"),
+        F.max("root").alias("hi"),
+        F.max(own).alias("in_band"),
+        F.count("*").alias("members"),
+        *(F.coalesce(F.min(e) < F.max(e), F.lit(True)).alias(f"own{i}") for i, e in enumerate(earlier)),
     )
-    mixed = mixed.filter("lo < hi").select("key", "members")
-    named = pinned(named.join(mixed, "key"), "mixed-buckets")
+    # other buckets hold no pair between components, none with a set of the bucket's band,
+    # or none whose own way leads there
+    own_ways = reduce(Column.__and__, (F.col(f"own{i}") for i in range(len(earlier))))
+    mixed = mixed.filter((F.col("lo") < F.col("hi")) & F.col("in_band") & own_ways).select("key", "members")
+    named = pinned(named.drop("band", "after").join(mixed, "key"), "mixed-buckets")
     ids = pinned(named.select("cls").distinct(), "mixed-classes")
     sketches = by_ids(sets.select("cls", "n_shingles", "band", "own", "following"), ids, "cls", "left_semi")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.shiftright("base", BAND_AT) == F.col("band")
     dealt = (
         named.join(sketches.dropDuplicates(["cls"]), "cls")
         .withColumn("segments", F.when(own, F.col("own")).otherwise(F.col("following")))
@@ -484,7 +501,7 @@ def _pairs_within(run: pa.Table, similar: Fraction) -> pa.RecordBatch:
     this = np.arange(this_segment, this_segment + 3) % bits.shape[1]
     after = bits[:, this[1]]
     after_two = after.astype(np.uint64) | bits[:, this[2]].astype(np.uint64) << np.uint64(32)
-    half, byte, third = base >> 4 & 1, base >> 5 & 1, base >> 6 & 3
+    half, byte = base >> 4 & 1, base >> 5 & 1
     across = run.column("lo")[0].as_py() != run.column("hi")[0].as_py()
     p, q = similar.numerator, similar.denominator
     u, v = [], []
@@ -494,14 +511,10 @@ def _pairs_within(run: pa.Table, similar: Fraction) -> pa.RecordBatch:
         ok &= q * np.minimum(size[rest], size[i]) >= p * np.maximum(size[rest], size[i])
         apart_after = after[rest] ^ after[i]
         ok &= may_link(after_two[rest], after_two[i])
-        # the pair's own way: the first half that is equal, the first equal byte of the other,
-        # the first equal third of the segment after
+        # the pair's own way: the first half that is equal, the first equal byte of the other
         own_half = (apart_after & 0xFFFF) != 0
         other = np.where(own_half, apart_after & 0xFFFF, apart_after >> 16)
         ok &= (own_half == half) & (((other & 0xFF) != 0) == byte)
-        second = (after_two[rest] ^ after_two[i]) >> np.uint64(32)
-        own_third = np.where(second & np.uint64(0x7FF) == 0, 0, np.where(second & np.uint64(0x3FF800) == 0, 1, 2))
-        ok &= own_third == third
         if across:
             ok &= block[rest] != block[i]
         at = np.flatnonzero(ok) + i + 1
@@ -528,6 +541,7 @@ def _grouped(
         .groupBy("cls")
         .agg(
             F.first("n_shingles").alias("n_shingles"),
+            F.first("band").alias("band"),
             F.first("whole").alias("whole"),
             F.min("doc_id").alias("least"),
             F.min("__row").alias("__row"),  # whose text stands for the class
@@ -557,7 +571,6 @@ def _grouped(
         found = shared_buckets(rows, parts(2 * large.count()), level)
         buckets.append(pinned(found, "smaller-buckets"))
         let_go(docs.sparkSession)
-    large = buckets[-1].filter("kind = 1")
 
     # pairs of small buckets, and each member of a large one with its first
     differ = F.col("after").bitwiseXOR(F.col("first_after"))
@@ -568,8 +581,11 @@ def _grouped(
     links = _check(tried.distinct(), classes, docs, n, similar)
     roots = pinned(components(links), "roots")
 
-    # what may still link: members of one large bucket in different components
-    left = _left_over(large, roots, sets, similar)
+    # what may still link: members of one large bucket in different components. The last split
+    # parts few of those that are left, so they are taken as they were before it, once
+    of_class = classes.select("cls", "band").join(roots.withColumnRenamed("u", "cls"), "cls", "left")
+    of_class = pinned(of_class.withColumn("root", F.coalesce("root", "cls")), "class-roots")
+    left = _left_over(buckets[-2].filter("kind = 1"), of_class, sets, similar)
     more = _check(left.distinct(), classes, docs, n, similar)
     if not more.isEmpty():
         roots = pinned(components(links.union(more)), "roots")

@@ -168,3 +168,19 @@ def test_large_tables_are_dealt_in_rounds(spark, monkeypatch):
     assert got(spark.createDataFrame(rows, SCHEMA)) == brute_force(rows, 4, Fraction(85, 100))
     held = [e.count() for e in exchanges]
     assert max(held) < sum(held) / 2
+
+
+def test_members_left_to_compare_are_held_once_for_the_last_split(spark, monkeypatch):
+    """What the last split parts no more is not kept once for each of its three ways."""
+    rng, base = random.Random(7), words(120, 1, 10_000)
+    rows = [(i, edited(base, 2 + i % 9, rng), "en", "a", 0) for i in range(150)]
+    held, pinned = {}, ngram_join.pinned
+
+    def spied(df, label):
+        held.setdefault(label, []).append(out := pinned(df, label))
+        return out
+
+    monkeypatch.setattr(ngram_join, "pinned", spied)
+    assert got(spark.createDataFrame(rows, SCHEMA)) == brute_force(rows, 4, Fraction(85, 100))
+    left, members = held["mixed-buckets"][0], held["smaller-buckets"][1].filter("kind = 1")
+    assert 0 < left.count() <= members.count()
