@@ -170,9 +170,10 @@ def test_large_tables_are_dealt_in_rounds(spark, monkeypatch):
     assert max(held) < sum(held) / 2
 
 
-def test_members_left_to_compare_are_held_once_for_the_last_split(spark, monkeypatch):
-    """What the last split parts no more is not kept once for each of its three ways."""
-    rng, base = random.Random(7), words(120, 1, 10_000)
+def test_buckets_left_to_compare_hold_a_set_of_their_band(spark, monkeypatch):
+    """Sets that also stand in the next band's buckets are compared in those of their own."""
+    rng, top = random.Random(7), int(ngram_join.bands()[np.searchsorted(ngram_join.bands(), 100)])
+    base = words(top + 3, 1, 10_000)  # the largest sets of a band: all of them look upwards
     rows = [(i, edited(base, 2 + i % 9, rng), "en", "a", 0) for i in range(150)]
     held, pinned = {}, ngram_join.pinned
 
@@ -182,5 +183,9 @@ def test_members_left_to_compare_are_held_once_for_the_last_split(spark, monkeyp
 
     monkeypatch.setattr(ngram_join, "pinned", spied)
     assert got(spark.createDataFrame(rows, SCHEMA)) == brute_force(rows, 4, Fraction(85, 100))
-    left, members = held["mixed-buckets"][0], held["smaller-buckets"][1].filter("kind = 1")
-    assert 0 < left.count() <= members.count()
+    band = {r.cls: r.band for r in held["sets"][0].collect()}
+    buckets = {}
+    for r in held["mixed-buckets"][0].collect():
+        buckets.setdefault(r.key, set()).add(band[r.cls] == r.base >> ngram_join.BAND_AT)
+    assert not held["smaller-buckets"][1].filter("kind = 1").isEmpty()
+    assert all(True in own for own in buckets.values())
