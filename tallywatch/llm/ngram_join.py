@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywatch.llm.common import by_ids, content, file_rows, let_go
+from tallywatch.llm.common import TEXT_ROWS, arrow_rows, by_ids, content, file_rows, let_go
 from tallywatch.llm.components import components
 from tallywatch.session import pinned
 
@@ -408,7 +408,8 @@ def _check(
     found = near.join(texts.select(F.col("cls").alias("v"), F.col("text").alias("v_text")), "v")
     found = found.join(texts.select(F.col("cls").alias("u"), F.col("text").alias("u_text")), "u")
     found = found.select("u", "v", "u_text", "v_text").mapInArrow(by_shingles, "u long, v long")
-    return pinned(found.distinct(), "links")
+    with arrow_rows(docs.sparkSession, TEXT_ROWS // 2):  # two texts a row
+        return pinned(found.distinct(), "links")
 
 
 def _earlier_parts() -> list[Column]:
@@ -535,7 +536,8 @@ def _grouped(
     docs: DataFrame, n: int, similar: Fraction, keep: tuple[str, ...]
 ) -> tuple[DataFrame, DataFrame]:
     """The rows' ``keep, n_shingles, cls``, and each class's component: ``cls, root, least``."""
-    sets = pinned(document_sets(docs, n, similar, keep), "sets")
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        sets = pinned(document_sets(docs, n, similar, keep), "sets")
     classes = pinned(
         sets.filter("n_shingles > 0")
         .groupBy("cls")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.llm.common import file_rows, let_go, unit
+from tallywatch.llm.common import TEXT_ROWS, arrow_rows, file_rows, let_go, unit
 from tallywatch.session import pinned
 
 WORDS = re.compile(r"\w+")
@@ -475,7 +475,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rounds = max(1, min(PAIR_ROUNDS, -(-n // PAIR_ROWS)))
     counts = []
     for turn in range(rounds):  # a word's pairs are in one of them, and their exchange goes with it
-        counts.append(counts_of(pair_counts(labelled, frequent, turn, rounds)))
+        with arrow_rows(docs.sparkSession, TEXT_ROWS):
+            counts.append(counts_of(pair_counts(labelled, frequent, turn, rounds)))
         let_go(docs.sparkSession)
     counts = [reduce(DataFrame.union, x) for x in zip(*counts)]
     others = expressions(*counts, "_less")

@@ -189,3 +189,18 @@ def test_buckets_left_to_compare_hold_a_set_of_their_band(spark, monkeypatch):
         buckets.setdefault(r.key, set()).add(band[r.cls] == r.base >> ngram_join.BAND_AT)
     assert not held["smaller-buckets"][1].filter("kind = 1").isEmpty()
     assert all(True in own for own in buckets.values())
+
+
+def test_texts_go_to_workers_in_small_batches(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    sent, pinned, before = {}, ngram_join.pinned, spark.conf.get(key)
+
+    def noted(df, label):
+        sent.setdefault(label, []).append(int(spark.conf.get(key)))
+        return pinned(df, label)
+
+    monkeypatch.setattr(ngram_join, "pinned", noted)
+    rows = corpus()
+    assert got(spark.createDataFrame(rows, SCHEMA)) == brute_force(rows, 4, Fraction(85, 100))
+    assert max(sent["sets"]) <= 2_000 and max(sent["links"]) <= 1_000
+    assert sent["buckets"] == [int(before)] and spark.conf.get(key) == before
