@@ -40,6 +40,7 @@ FILTER_BITS = 26  # of a filter of 8 MB that says which other expressions to joi
 SMALL_LABELS = 1_000_000  # labels that may be broadcast: 16 MB
 HELD_WORDS = 500_000  # running words that a worker holds before it passes them on
 SCORED_WORDS = 100_000  # and before it scores them
+PASSED_PAIRS = 50_000  # pairs that a worker passes on at a time: 3 MB
 FREQUENT = 0.001  # share of the running words from which a word's pairs are dealt out
 FREQUENT_TEXTS = 2_000  # texts, about, that are looked at for such words
 DEALT = 64  # parts that the pairs of a frequent word are dealt to
@@ -123,6 +124,13 @@ def frequent_words(texts: DataFrame) -> np.ndarray:
     return np.array(sorted(r["word"] for r in found), np.int64)
 
 
+def sliced(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``columns``, ``PASSED_PAIRS`` at a time: the JVM holds a batch beside its heap."""
+    batch = pa.RecordBatch.from_arrays(columns, names=names)
+    for low in range(0, batch.num_rows, PASSED_PAIRS):
+        yield batch.slice(low, PASSED_PAIRS)
+
+
 def pair_counts(
     labelled: DataFrame, frequent: np.ndarray | None = None, turn: int = 0, rounds: int = 1
 ) -> DataFrame:
@@ -157,7 +165,7 @@ def pair_counts(
             for k in range(4):
                 n = np.bincount(group[kind == k], minlength=group[-1] + 1)
                 columns.append(pa.array(n.astype(np.int64)))
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "part", "before", *names])
+            yield from sliced(columns, ["word", "part", "before", *names])
 
     kinds = ", ".join(f"{n} long" for n in names)
     counts = labelled.select("text", "toxic", "held").mapInArrow(
@@ -339,11 +347,15 @@ def looked_up(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def sums(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` with ``__mean`` and ``__root``: the gains' sum over the words, and over their root."""
+    """``keep`` with ``__mean`` and ``__root``: the gains' sum over the words, and over their root.
+
+    Written to the shared folder. A long ``__row`` in ``keep`` must be a row's own, as
+    ``file_rows`` gives it.
+    """
     spark, joined = docs.sparkSession, model.rest is not None
     columns = list(dict.fromkeys([*keep, "text"]))
     docs = docs.select(*columns)
-    if joined:
+    if joined and "__row" not in keep:
         docs = file_rows(docs, "__row", "scored-input")
     sent = spark.sparkContext.broadcast((model.keys, model.gains, model.filter))
 
@@ -405,7 +417,10 @@ def sums(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     if not joined:
         kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-        return docs.mapInArrow(scored, f"{kinds}, __mean double, __root double")
+        with arrow_rows(spark, TEXT_ROWS):
+            out = pinned(docs.mapInArrow(scored, f"{kinds}, __mean double, __root double"), "scored")
+        sent.destroy()
+        return out
     rounds = max(1, min(ROUNDS, -(-docs.count() // ROUND_ROWS)))
     found = []
     for turn in range(rounds):  # the exchange of what a round's rows ask for goes with it
@@ -417,10 +432,12 @@ def sums(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             (F.sum("told") + F.sum(F.col("n") * F.coalesce("gain", F.lit(0.0)))).alias("__told"),
             F.greatest(F.sum("size"), F.lit(1)).alias("__size"),
         )
-        found.append(pinned(told, "told"))
+        with arrow_rows(spark, TEXT_ROWS):
+            found.append(pinned(told, "told"))
         let_go(spark)
+    sent.destroy()
     found, total = reduce(DataFrame.union, found), F.col("__told")
-    return docs.select("__row", *keep).join(found, "__row").select(
+    return docs.select(*dict.fromkeys(["__row", *keep])).join(found, "__row").select(
         *keep, (total / F.col("__size")).alias("__mean"), (total / F.sqrt("__size")).alias("__root")
     )
 

@@ -5,9 +5,11 @@ import re
 import pytest
 
 import corpus_pipeline
-from tallywatch.llm import queries
+from tallywatch.llm import queries, toxicity
 from tallywatch.llm.common import table
+from tests.llm.edges import SCHEMA
 from tests.llm.test_ngram_join import brute_force
+from tests.llm.test_toxicity import LABELS, corpus
 
 SF = "/root/testdata/sf0.01"
 
@@ -42,6 +44,29 @@ def test_toxic_documents_go_and_clean_ones_stay(spark, kept):
     assert len(gone & toxic) >= 0.7 * len(toxic) and len(gone & clean) <= 0.01 * len(clean)
 
 
+@pytest.mark.parametrize("sent", [10**6, 40])
+def test_texts_do_not_come_back_from_scoring(spark, monkeypatch, tmp_path, sent):
+    """Equal rows, null texts and ids among them; the rows that stay are those with a low score."""
+    asked, score = [], toxicity.score
+
+    def noted(docs, model, keep):
+        asked.append(keep)
+        return score(docs, model, keep)
+
+    monkeypatch.setattr(toxicity, "MODEL_WORDS", sent)
+    rows, marks = corpus(300)
+    rows += rows[:9] + [(None, rows[0][1], "en", "a", 1), (None, None, None, None, None), (7, None, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame(marks, LABELS)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    scored = toxicity.score(docs, toxicity.train(docs, labels), docs.columns)
+    want = sorted(map(repr, scored.filter("score < 0.5").select(*docs.columns).collect()))
+    monkeypatch.setattr(toxicity, "score", noted)
+    found = corpus_pipeline.without_toxic(spark, docs, str(tmp_path))
+    assert sorted(map(repr, found.collect())) == want
+    assert 200 < len(want) < len(rows) and asked == [["__row"]] and found.columns == docs.columns
+
+
 def test_one_of_each_group(kept):
     before, after = kept["ngram_join"]
     rows = [(r.doc_id, r.text) for r in before.collect()]

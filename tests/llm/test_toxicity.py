@@ -197,3 +197,41 @@ def test_pairs_of_frequent_words_are_dealt_out(spark):
     turns = [toxicity.pair_counts(labelled, frequent, turn, 2) for turn in (0, 1)]
     assert all(t.count() for t in turns)
     assert sorted(turns[0].collect() + turns[1].collect()) == sorted(whole.collect())
+
+
+@pytest.mark.parametrize("sent", [10**6, 40])
+def test_texts_are_scored_in_small_batches(spark, monkeypatch, sent):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows, pinned, before = {}, toxicity.pinned, spark.conf.get(key)
+
+    def noted(df, label):
+        rows.setdefault(label, []).append(int(spark.conf.get(key)))
+        return pinned(df, label)
+
+    monkeypatch.setattr(toxicity, "MODEL_WORDS", sent)
+    monkeypatch.setattr(toxicity, "pinned", noted)
+    docs, labels = corpus()
+    out = toxicity.toxicity(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, LABELS))
+    assert out.count() == len(docs) and spark.conf.get(key) == before
+    found = rows.get("scored", []) + rows.get("told", [])
+    assert len(found) == 2 and max(found) <= 2_000
+
+
+def test_pairs_are_passed_on_in_small_batches(spark, monkeypatch):
+    texts = [(words(400, i, 60), i % 2, 0) for i in range(40)]
+    labelled = spark.createDataFrame(texts, "text string, toxic int, held int")
+    want = sorted(map(tuple, toxicity.pair_counts(labelled).collect()))
+    sizes, sliced = spark.sparkContext.accumulator(0), toxicity.sliced
+    monkeypatch.setattr(toxicity, "PASSED_PAIRS", 7)
+
+    def noted(columns, names):
+        for batch in sliced(columns, names):
+            sizes.add(batch.num_rows > 7)
+            yield batch
+
+    monkeypatch.setattr(toxicity, "sliced", noted)
+    assert sorted(map(tuple, toxicity.pair_counts(labelled).collect())) == want and sizes.value == 0
+    columns = [toxicity.pa.array(range(20))]
+    batches = list(sliced(columns, ["n"]))
+    assert [b.num_rows for b in batches] == [7, 7, 6]
+    assert [n for b in batches for n in b.column(0).to_pylist()] == list(range(20))
