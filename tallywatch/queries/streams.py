@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallywatch import rules
 from tallywatch.queries.base import register
 from tallywatch.session import scratch_dir
 from tallywatch.sources import store
@@ -34,10 +35,13 @@ def _event_stream(spark, d):
 )
 def stream_velocity(spark, d):
     path, mark = scratch_dir(spark, "velocity"), scratch_dir(spark, "velocity-mark")
-    result = streams.stream_velocity(_event_stream(spark, d), account="account")
-    result = result.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+    together = rules.VELOCITY_STEPS  # windows an hour apart: as many as overlap
+    result = streams.stream_velocity(_event_stream(spark, d), account="account", together=together)
+    result = result.withColumn("day", F.to_date("window_start"))
     keys, newest = ["account", "window_start"], ["txns_last_24h"]  # counts only grow
-    query = streams.upsert_parts_available(result, path, keys, "day", mark, newest, "update")
+    query = streams.upsert_parts_available(
+        result, path, keys, "day", mark, newest, "update", until="window_end", unique=True
+    )
     query.awaitTermination()
     return store.read_table(spark, path).select(
         "account",

@@ -10,12 +10,13 @@ version untouched. One writer per table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywatch.operators.spread import SMALL_ROWS, small_copy
+from tallywatch.operators.spread import SMALL_ROWS
 from tallywatch.operators.tables import unique_source, upsert
 
 _VERSION = "version="
@@ -107,6 +108,7 @@ def upsert_partitions(
     *,
     order: Sequence[str] | None = None,
     schema: T.StructType | None = None,
+    unique: bool = False,
 ) -> None:
     """Upsert into a partitioned table, rewriting only partitions in ``source``.
 
@@ -114,54 +116,80 @@ def upsert_partitions(
     The new partitions are first written and committed to a folder beside the
     table and swapped in from there. A swap that was cut short is made good by the
     next call, before it reads the table.
+
+    With ``unique`` the caller knows that no two rows of the source share a key. It is
+    computed once, into partitions beside the table, and if the table has none of
+    them these are what is swapped in.
     """
     spark = source.sparkSession
-    finish_swap(spark, path, partition_col, schema)
-    values = source.select(partition_col).distinct()
-    local = small_copy(values, SMALL_ROWS)
+    finish_swap(spark, path, partition_col)
     target = read_table(spark, path) if schema is None else spark.read.schema(schema).parquet(path)
-    if local is None:
+    beside = f"{path.rstrip('/')}.source"
+    if unique:
+        source = source.select(*target.columns)
+        write_table(source, beside, "overwrite", [partition_col])
+        source = spark.read.schema(source.schema).parquet(beside)
+    values = source.select(partition_col).distinct()
+    local = values.limit(SMALL_ROWS + 1).collect()
+    if len(local) > SMALL_ROWS:
         touched = target.join(values, partition_col, "left_semi")
     else:
         # literals, so that untouched folders are not even listed
-        listed = [r[0] for r in local.collect()]
+        listed = [r[0] for r in local]
         wanted = F.col(partition_col).isin([v for v in listed if v is not None])
         touched = target.filter(wanted | F.col(partition_col).isNull() if None in listed else wanted)
     whole_key = [*keys, partition_col]
-    if touched.isEmpty():  # new partitions only: nothing to look for
-        merged = unique_source(source, whole_key, order, False)
+    new = touched.isEmpty()  # new partitions only: nothing to look for
+    if new and unique:
+        _move(spark, beside, _staged(path))
     else:
-        merged = upsert(touched, source, whole_key, order=order)
-    write_table(merged.select(*target.columns), _staged(path), "overwrite", [partition_col])
-    finish_swap(spark, path, partition_col, schema)
+        if new:
+            merged = unique_source(source, whole_key, order, False)
+        else:
+            merged = upsert(touched, source, whole_key, order=order)
+        write_table(merged.select(*target.columns), _staged(path), "overwrite", [partition_col])
+    finish_swap(spark, path, partition_col)
+    if unique:
+        _files(spark, path).delete(_folder(spark, beside), True)
 
 
 def _staged(path: str) -> str:
     return f"{path.rstrip('/')}.staged"
 
 
+def _folder(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _files(spark: SparkSession, path: str):
+    return _folder(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _move(spark: SparkSession, old: str, new: str) -> None:
+    """Put folder ``old`` in the place of ``new``."""
+    fs = _files(spark, new)
+    fs.delete(_folder(spark, new), True)
+    if not fs.rename(_folder(spark, old), _folder(spark, new)):
+        raise OSError(f"{old} could not be moved to {new}")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return _files(spark, path).exists(_folder(spark, path))
 
 
-def finish_swap(
-    spark: SparkSession, path: str, partition_col: str, schema: T.StructType | None = None
-) -> bool:
+def finish_swap(spark: SparkSession, path: str, partition_col: str) -> bool:
     """Swap in partitions that are committed beside the table; False if there are none.
 
-    ``schema`` is the table's, for one that has no partition yet.
+    Their folders are moved one by one; those still beside the table are moved by the
+    next call if this one is cut short.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_staged(path))
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+    staged, fs = _staged(path), _files(spark, path)
+    if not fs.exists(_folder(spark, f"{staged}/_SUCCESS")):
         return False
-    staged = spark.read.schema(schema or read_table(spark, path).schema).parquet(_staged(path))
-    (
-        staged.write.mode("overwrite")  # balanced when it was staged
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
-    fs.delete(folder, True)
+    fs.mkdirs(_folder(spark, path))
+    for name in [f.getPath().getName() for f in fs.listStatus(_folder(spark, staged))]:
+        if unquote(name).startswith(f"{partition_col}="):
+            _move(spark, f"{staged}/{name}", f"{path}/{name}")
+    fs.delete(_folder(spark, staged), True)
+    spark.catalog.refreshByPath(path)
     return True

@@ -6,6 +6,7 @@ do not reach the result. State is kept per group and window only.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,6 +83,19 @@ def _begin(result: DataFrame, base: str) -> None:
         store.commit(spark.createDataFrame([], result.schema), base)
 
 
+def _still_open(batch: DataFrame, number: int, checkpoint: str, until: str | None) -> DataFrame:
+    """Rows whose time ``until`` lies behind the watermark are left out.
+
+    It is the watermark by which Spark drops the batch's late rows: that of the batch
+    before, which stands in the checkpoint.
+    """
+    if until is None or number == 0:
+        return batch
+    log = batch.sparkSession.read.text(f"{checkpoint}/offsets/{number - 1}", wholetext=True)
+    passed = json.loads(log.first()[0].splitlines()[1])["batchWatermarkMs"]
+    return batch.filter(F.col(until) > F.timestamp_millis(F.lit(passed)))
+
+
 def upsert_available(
     stream: DataFrame,
     base: str,
@@ -89,16 +103,21 @@ def upsert_available(
     checkpoint: str,
     order: Sequence[str] | None,
     mode: str = "append",
+    *,
+    until: str | None = None,
 ) -> StreamingQuery:
     """Upsert what is available now into a versioned table, one version per batch.
 
     A batch that is repeated after a failure gives the same table. ``order``
     decides between rows of one batch that share a key. An aggregation in ``update``
     mode brings the groups that changed; those behind the watermark leave the state.
+    ``until`` is for groups that hold windows together: a window whose end, in that
+    column, is behind the watermark stays as it is in the table.
     """
     _begin(stream, base)
 
-    def apply(batch: DataFrame, _: int) -> None:
+    def apply(batch: DataFrame, number: int) -> None:
+        batch = _still_open(batch, number, checkpoint, until)
         batch = pinned(batch, "batch")  # read twice: its state is to be updated once
         current = store.read_version(batch.sparkSession, base)
         store.commit(upsert(current, batch, keys, order=order), base)
@@ -114,20 +133,26 @@ def upsert_parts_available(
     checkpoint: str,
     order: Sequence[str],
     mode: str = "append",
+    *,
+    until: str | None = None,
+    unique: bool = False,
 ) -> StreamingQuery:
     """The same into a partitioned table: a batch rewrites the partitions it touches.
 
-    For an aggregation use ``mode="update"`` and a partition column made from its group.
+    For an aggregation use ``mode="update"`` and a partition column made from its group;
+    if ``keys`` are its groups, no two rows of a batch share one, and ``unique`` says so.
     """
     spark = stream.sparkSession
     if not store.table_exists(spark, path):
         first = spark.createDataFrame([], stream.schema)
         store.write_table(first, path, partition_by=[partition_col])
 
-    def apply(batch: DataFrame, _: int) -> None:
-        batch = pinned(batch, "batch")
+    def apply(batch: DataFrame, number: int) -> None:
+        batch = _still_open(batch, number, checkpoint, until)
+        if not unique:
+            batch = pinned(batch, "batch")
         store.upsert_partitions(
-            batch, path, keys, partition_col, order=order, schema=stream.schema
+            batch, path, keys, partition_col, order=order, schema=stream.schema, unique=unique
         )
 
     return _each_batch(stream, apply, checkpoint, mode)
@@ -136,6 +161,13 @@ def upsert_parts_available(
 # -- windows over event time --------------------------------------------------------
 
 
+def _micros(spark: SparkSession, duration: str) -> int:
+    """Length of a duration as ``window`` reads it."""
+    window = F.window(F.timestamp_micros(F.lit(0)), duration)
+    one = spark.sql("select 1").select(window.alias("w"))
+    return one.select(F.unix_micros("w.end") - F.unix_micros("w.start")).first()[0]
+
+
 def stream_velocity(
     stream: DataFrame,
     *,
@@ -144,15 +176,45 @@ def stream_velocity(
     span: str = f"{rules.VELOCITY_STEPS} hours",
     slide: str = "1 hour",
     late: str = "2 hours",
+    together: int = 1,
 ) -> DataFrame:
-    """Transactions with an amount per account in sliding windows."""
-    windows = stream.withWatermark(ts, late).groupBy(F.window(ts, span, slide), account)
-    count = windows.agg(F.count("amount").alias("txns_last_24h"))
+    """Transactions with an amount per account in sliding windows.
+
+    ``together`` is how many windows that follow each other share a row of the state. With
+    as many as overlap, a transaction is counted in two such rows instead of one for each
+    window. They leave the state, and come out in append mode, when the last of them is
+    behind the watermark; in update mode they all come when one changes, so name
+    ``window_end`` to the upsert as ``until``, which keeps late rows out of the earlier ones.
+    """
+    marked = stream.withWatermark(ts, late)
+    if together == 1:
+        windows = marked.groupBy(F.window(ts, span, slide), account)
+        count = windows.agg(F.count("amount").alias("txns_last_24h"))
+        bounds = F.col("window.start"), F.col("window.end")
+    else:
+        # plain numbers: adding intervals to times takes longer than all the rest
+        width, step = (_micros(stream.sparkSession, d) for d in (span, slide))
+        length, apart = width + (together - 1) * step, together * step
+        block = F.window(ts, f"{length} microseconds", f"{apart} microseconds")
+        marked = marked.withColumn("__block", block)
+        known = F.col("amount").isNotNull().cast("long")
+        at = F.unix_micros(ts) - F.unix_micros("__block.start")
+        counts = [
+            F.sum(F.when((at >= i * step) & (at < i * step + width), known)).alias(f"__{i}")
+            for i in range(together)
+        ]
+        blocks = marked.groupBy("__block", account).agg(*counts)
+        each = F.posexplode(F.array(*[f"__{i}" for i in range(together)]))
+        count = blocks.select(
+            account, F.unix_micros("__block.start").alias("__at"), each.alias("__i", "txns_last_24h")
+        ).filter(F.col("txns_last_24h").isNotNull())  # null: no row of the account
+        start = F.col("__at") + F.col("__i") * F.lit(step)
+        bounds = F.timestamp_micros(start), F.timestamp_micros(start + width)
     fast = F.col("txns_last_24h") > rules.VELOCITY_LIMIT
     return count.select(
         account,
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+        bounds[0].alias("window_start"),
+        bounds[1].alias("window_end"),
         "txns_last_24h",
         F.when(fast, rules.VELOCITY_HIGH)
         .otherwise(rules.VELOCITY_NORMAL)

@@ -5,7 +5,10 @@ import os
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from tallywatch.operators import quality
+from tallywatch.queries import QUERIES
 from tallywatch.schemas import CORRUPT, SOURCE
 from tallywatch.sources import landing, store
 from tallywatch.streaming import streams
@@ -226,3 +229,101 @@ def test_a_batch_is_computed_once(spark, folder):
     streams.upsert_parts_available(rows, path, ["id"], "p", f"{folder}/mark", ["n"]).awaitTermination()
     assert spark.read.parquet(path).count() == 50
     assert read.value == 50
+
+
+def velocity(spark, folder, name, together, mode="update", **windows):
+    """The table of a velocity stream over ``folder/in`` after one more run."""
+    table, mark = f"{folder}/{name}", f"{folder}/{name}-mark"
+    result = streams.stream_velocity(stream(spark, f"{folder}/in"), together=together, **windows)
+    if mode == "complete":
+        query = streams.replace_available(result, table, mark)
+        query.awaitTermination()
+        df = store.read_version(spark, table)
+    else:
+        result = result.withColumn("day", F.to_date("window_start"))
+        keys = ["nameOrig_hashed", "window_start"]
+        unique = {"unique": True, "until": "window_end"} if together > 1 else {}
+        query = streams.upsert_parts_available(
+            result, table, keys, "day", mark, ["txns_last_24h"], "update", **unique
+        )
+        query.awaitTermination()
+        df = store.read_table(spark, table).drop("day")
+    return sorted(map(tuple, df.collect()), key=str), query
+
+
+@pytest.mark.parametrize(
+    "together, windows",
+    [
+        (24, {}),
+        (5, {"span": "100 minutes", "slide": "40 minutes"}),
+        (2, {"span": "1 hour", "slide": "1 hour"}),
+    ],
+)
+def test_windows_kept_together_give_the_same_counts(spark, folder, together, windows):
+    path = events(spark, folder, "in", *[(i, "abc"[i % 3], i * i % 4000 - 1000) for i in range(60)])
+    odd = [(None, "a", 1.0), (0, "b", None), (20_000, "d", None), (7, None, 1.0), (8, None, 2.0)]
+    start = dt.datetime(2025, 1, 1)
+    rows = [(100, a, None if m is None else start + dt.timedelta(minutes=m), v) for m, a, v in odd]
+    schema = "txn_id long, nameOrig_hashed string, ts timestamp, amount double"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    want, _ = velocity(spark, folder, "one", 1, "complete", **windows)
+    assert len(want) > 20 and any(r[3] == 0 for r in want)
+    got, _ = velocity(spark, folder, "together", together, "complete", **windows)
+    assert got == want
+
+
+def test_late_rows_stay_out_of_closed_windows_kept_together(spark, folder):
+    """After each run the table is that of a state with one row for each window."""
+    hours = [[0, 5, 30], [10, 12, 31], [3, 6, 29, 60], [30, 37, 41, 59], [200], [190, 199]]
+    for run, batch in enumerate(hours):
+        events(spark, folder, "in", *[(100 * run + i, "ab"[i % 2], 60 * h + 1) for i, h in enumerate(batch)])
+        want, plain = velocity(spark, folder, "one", 1)
+        got, query = velocity(spark, folder, "together", 24)
+        assert got == want
+    state = [q.lastProgress["stateOperators"][0]["numRowsTotal"] for q in (plain, query)]
+    assert state[1] < state[0] / 5  # older blocks have left it
+
+
+def test_the_velocity_query_keeps_two_state_rows_an_event(spark, folder, monkeypatch):
+    start = dt.datetime(2024, 1, 10)
+    data = [(i, start + dt.timedelta(minutes=517 * i), i % 3, "view", 1.0, "") for i in range(40)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(data, schema).write.parquet(f"{folder}/events.parquet")
+    queries, begin = [], streams.upsert_parts_available
+    monkeypatch.setattr(
+        streams, "upsert_parts_available", lambda *a, **o: queries.append(begin(*a, **o)) or queries[0]
+    )
+    got = QUERIES["stream_velocity"](spark, folder)
+    assert got.agg(F.sum("txns_last_24h")).first()[0] == 24 * len(data)
+    states = [p["stateOperators"][0]["numRowsUpdated"] for p in queries[0].recentProgress]
+    assert sum(states) <= 2 * len(data)
+
+
+def test_a_unique_batch_is_computed_and_written_once(spark, folder, monkeypatch):
+    read, written = spark.sparkContext.accumulator(0), []
+    write = store.write_table
+    monkeypatch.setattr(store, "write_table", lambda *a, **o: written.append(a) or write(*a, **o))
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    def run(first, last):
+        data = spark.range(first, last).selectExpr("id", "id div 10 as p", f"{first} as n")
+        data.withColumn("n", F.col("n").cast("long")).write.mode("append").parquet(f"{folder}/in")
+        rows = spark.readStream.schema("id long, p long, n long").parquet(f"{folder}/in")
+        rows = rows.mapInArrow(counted, rows.schema)
+        written.clear()
+        streams.upsert_parts_available(
+            rows, f"{folder}/table", ["id"], "p", f"{folder}/mark", ["n"], unique=True
+        ).awaitTermination()
+        got = store.read_table(spark, f"{folder}/table").select("id", "n").collect()
+        assert sorted(os.listdir(folder)) == ["in", "mark", "table"]
+        return {r.id: r.n for r in got}, len(written), read.value
+
+    assert run(0, 50) == ({i: 0 for i in range(50)}, 2, 50)  # the empty table, then the batch
+    assert run(50, 60)[1:] == (1, 60)
+    after, writes, seen = run(35, 70)  # 35 to 59 are there
+    assert after == {**{i: 0 for i in range(35)}, **{i: 35 for i in range(35, 70)}}
+    assert (writes, seen) == (2, 95)
