@@ -126,7 +126,7 @@ def upsert_partitions(
     target = read_table(spark, path) if schema is None else spark.read.schema(schema).parquet(path)
     beside = f"{path.rstrip('/')}.source"
     if unique:
-        source = source.select(*target.columns)
+        source = _like(source, target)
         write_table(source, beside, "overwrite", [partition_col])
         source = spark.read.schema(source.schema).parquet(beside)
     values = source.select(partition_col).distinct()
@@ -147,12 +147,19 @@ def upsert_partitions(
             merged = unique_source(source, whole_key, order, False)
         else:
             merged = upsert(touched, source, whole_key, order=order)
-        write_table(merged.select(*target.columns), _staged(path), "overwrite", [partition_col])
+        write_table(_like(merged, target), _staged(path), "overwrite", [partition_col])
     finish_swap(spark, path, partition_col)
     if unique:
         _files(spark, path).delete(_folder(spark, beside), True)
 
 
+def _like(df: DataFrame, table: DataFrame) -> DataFrame:
+    """The table's columns with its types: the files are to lie beside its own."""
+    kinds = {f.name: f.dataType for f in table.schema}
+    same = {f.name for f in df.schema if kinds.get(f.name) == f.dataType}
+    return df.select(*[F.col(c) if c in same else F.col(c).cast(kinds[c]) for c in table.columns])
+
+
 def _staged(path: str) -> str:
     return f"{path.rstrip('/')}.staged"
 

@@ -89,10 +89,12 @@ def _still_open(batch: DataFrame, number: int, checkpoint: str, until: str | Non
     It is the watermark by which Spark drops the batch's late rows: that of the batch
     before, which stands in the checkpoint.
     """
-    if until is None or number == 0:
+    if until is None:
         return batch
-    log = batch.sparkSession.read.text(f"{checkpoint}/offsets/{number - 1}", wholetext=True)
-    passed = json.loads(log.first()[0].splitlines()[1])["batchWatermarkMs"]
+    passed = 0  # where Spark's watermark begins
+    if number > 0:
+        log = batch.sparkSession.read.text(f"{checkpoint}/offsets/{number - 1}", wholetext=True)
+        passed = json.loads(log.first()[0].splitlines()[1])["batchWatermarkMs"]
     return batch.filter(F.col(until) > F.timestamp_millis(F.lit(passed)))
 
 

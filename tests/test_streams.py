@@ -274,7 +274,8 @@ def test_windows_kept_together_give_the_same_counts(spark, folder, together, win
 
 def test_late_rows_stay_out_of_closed_windows_kept_together(spark, folder):
     """After each run the table is that of a state with one row for each window."""
-    hours = [[0, 5, 30], [10, 12, 31], [3, 6, 29, 60], [30, 37, 41, 59], [200], [190, 199]]
+    first = -24 * 20089  # 1970 begins, and with it the watermark
+    hours = [[first - 3, first + 1], [0, 5, 30], [10, 12, 31], [3, 6, 29, 60], [30, 37, 41, 59], [200], [190, 199]]
     for run, batch in enumerate(hours):
         events(spark, folder, "in", *[(100 * run + i, "ab"[i % 2], 60 * h + 1) for i, h in enumerate(batch)])
         want, plain = velocity(spark, folder, "one", 1)
@@ -327,3 +328,15 @@ def test_a_unique_batch_is_computed_and_written_once(spark, folder, monkeypatch)
     after, writes, seen = run(35, 70)  # 35 to 59 are there
     assert after == {**{i: 0 for i in range(35)}, **{i: 35 for i in range(35, 70)}}
     assert (writes, seen) == (2, 95)
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_partitions_that_are_moved_in_have_the_types_of_the_table(spark, folder, unique):
+    path = f"{folder}/t"
+    store.write_table(spark.sql("select 1L k, 2.5D v, 'a' p"), path, partition_by=["p"])
+    for row in ("2 k, 3.5F v, 'b' p", "1 k, 4.5F v, 'a' p"):
+        store.upsert_partitions(spark.sql(f"select {row}"), path, ["k"], "p", unique=unique)
+    got = spark.read.schema("k long, v double, p string").parquet(path)
+    assert sorted(map(tuple, got.collect())) == [(1, 4.5, "a"), (2, 3.5, "b")]
+    each = [spark.read.parquet(f"{path}/p={p}").dtypes for p in "ab"]
+    assert each == [[("k", "bigint"), ("v", "double")]] * 2
