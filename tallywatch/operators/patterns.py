@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywatch import session
 from tallywatch.operators.spread import HOT_ROWS, position
 from tallywatch.session import pinned
 
@@ -70,7 +71,7 @@ def match_ends(
     known = F.when((symbol >= 0) & (symbol < alphabet), symbol.cast("int"))
     rows = df.select(*keys, order, tie, known.alias("__symbol")).dropna(subset=keys)
     # numbering reads them several times, and they may come from windows of their own
-    rows = pinned(rows.filter("__symbol is not null"), "symbols")
+    rows = session.pinned(rows.filter("__symbol is not null"), "symbols")
     rows = position(rows, keys, order, tie, "__pos", hot_rows)
     rows = rows.withColumn("__block", F.floor((F.col("__pos") - 1) / BLOCK))
     table, same = _table(automaton), F.array(*(F.lit(s) for s in range(states)))
